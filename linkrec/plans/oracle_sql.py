@@ -10,7 +10,7 @@ from __future__ import annotations
 # name -> (dependencies, body)
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "users": ((), """select c_custkey new_id, c_custkey ids, c_acctbal views,
-        cast(c_nationkey as bigint) days, c_mktsegment = 'BUILDING' partner,
+        cast(c_nationkey as bigint) as "days", c_mktsegment = 'BUILDING' partner,
         c_acctbal < 0 mature from customer"""),
     "user_games": ((), """select distinct o_custkey new_id, cast(p_size as bigint) game
         from orders join lineitem on o_orderkey = l_orderkey join part on l_partkey = p_partkey"""),
@@ -75,3 +75,23 @@ def sql(deps, body: str, extra: dict[str, str] | None = None) -> str:
     for k, v in (extra or {}).items():
         parts.append(f"{k} as ({v})")
     return ("with " + ",\n".join(parts) + "\n" + body) if parts else body
+
+CTES.update({
+    "gsz": (("gedges",), "select src, count(*) n from gedges group by src"),
+    "nsim": (("gedges", "gsz"), """select node1, node2, c / (s1.n + s2.n - c) similarity from
+        (select a.src node1, b.src node2, count(*) c from gedges a join gedges b
+           on a.dst = b.dst and a.src <> b.src group by a.src, b.src) p
+        join gsz s1 on s1.src = p.node1 join gsz s2 on s2.src = p.node2"""),
+    "nsim_top": (("nsim",), """select node1, node2, similarity from (select *, row_number() over
+        (partition by node1 order by similarity desc, node2) r from nsim) where r <= 10"""),
+    "fusers": (("users", "user_games"), "select * from users where new_id in (select new_id from user_games)"),
+    "base": (("fusers",), """select new_id,
+        case when max(views) over () > min(views) over ()
+             then (views - min(views) over ()) / (max(views) over () - min(views) over ()) else 0.0 end views,
+        case when max(days) over () > min(days) over ()
+             then (days - min(days) over ()) / (max(days) over () - min(days) over ()) else 0.0 end as "days",
+        cast(partner as integer) partner, cast(mature as integer) mature from fusers"""),
+    "vocab": (("user_games",), """select game, cast(row_number() over (order by game) - 1 as integer) game_idx
+        from (select distinct game from user_games)"""),
+    "hot": (("user_games", "vocab"), "select new_id, game, game_idx from user_games join vocab using (game)"),
+})

@@ -167,3 +167,141 @@ def q_similar_edges_refresh(spark, sf):
     new = daily.similar_edges(S.strong_similar_pairs(S.batch_jaccard(_scores(t))))
     out = W.replacing_upsert(old, new, ["src", "dst"])
     return out.select("src", "dst", rnd(F.col("jaccard_score")).alias("jaccard_score"))
+
+
+# ---------------------------------------------------------------------- graph
+from linkrec.operators import graph as G  # noqa: E402
+from linkrec.operators import features as FT  # noqa: E402
+from linkrec.operators import writes as WR  # noqa: E402,F811
+
+
+def _vertices(t: Tables) -> DataFrame:
+    return t.users().select(F.col("new_id").alias("id"))
+
+
+@query("graph_project", sql(["gedges"], "select src, dst from gedges"))
+def q_graph_project(spark, sf):
+    return G.graph_project(Tables(spark, sf).follows())
+
+
+@query("edges_known_users", sql(["follows", "users"], """select src, dst from follows
+    where src in (select new_id from users) and dst in (select new_id from users)"""))
+def q_edges_known_users(spark, sf):
+    t = Tables(spark, sf)
+    return G.known_edges(t.follows(), _vertices(t)).select("src", "dst")
+
+
+@query("undirected_edges", sql(["und"], "select src, dst from und"))
+def q_undirected_edges(spark, sf):
+    t = Tables(spark, sf)
+    return G.undirected(G.directed_graph(t.follows(), _vertices(t)))
+
+
+@query("degrees", sql(["vtx", "kedges"], """select id,
+    coalesce((select count(*) from kedges where dst = id), 0) in_degree,
+    coalesce((select count(*) from kedges where src = id), 0) out_degree from vtx"""))
+def q_degrees(spark, sf):
+    t = Tables(spark, sf)
+    v = _vertices(t)
+    return G.degrees(G.directed_graph(t.follows(), v), v)
+
+
+@query("undirected_degree", sql(["vtx", "nbr"], """select id, coalesce(n_nbrs, 0) n_nbrs,
+    coalesce(degree, 0) degree from vtx left join nbr using (id)"""))
+def q_undirected_degree(spark, sf):
+    t = Tables(spark, sf)
+    v = _vertices(t)
+    return G.undirected_degree(G.undirected(G.directed_graph(t.follows(), v)), v)
+
+
+@query("clustering", sql(["vtx", "und"], """select id, round(case when coalesce(d, 0) >= 2
+    then 2.0 * coalesce(t, 0) / (d * (d - 1)) else 0.0 end, 6) clustering
+    from vtx left join deg on deg.v = id left join tri on tri.v = id""", extra={
+    "s": "select src, dst from und where src <> dst",
+    "deg": "select src v, count(*) d from s group by src",
+    "tri": """select e1.src v, count(*) t from s e1 join s e2 on e1.src = e2.src and e1.dst < e2.dst
+        join s e3 on e3.src = e1.dst and e3.dst = e2.dst group by e1.src"""}))
+def q_clustering(spark, sf):
+    t = Tables(spark, sf)
+    v = _vertices(t)
+    c = G.clustering(G.undirected(G.directed_graph(t.follows(), v)), v)
+    return c.select("id", rnd(F.col("clustering")).alias("clustering"))
+
+
+@query("adjacency", sql(["follows"], """select src, count(*) n_list, count(distinct dst) n_set
+    from follows group by src"""))
+def q_adjacency(spark, sf):
+    return G.adjacency_sizes(Tables(spark, sf).follows())
+
+
+@query("node_similarity", sql(["nsim_top"], "select node1, node2, round(similarity, 6) similarity from nsim_top"))
+def q_node_similarity(spark, sf):
+    s = S.node_similarity(Tables(spark, sf).follows())
+    return s.select("node1", "node2", rnd(F.col("similarity")).alias("similarity"))
+
+
+@query("node_similarity_recs", sql(["nsim_top", "gedges"], """select node1 user_id, node2 recommended_user,
+    round(similarity, 6) similarity, r as rank from (select *, row_number() over
+    (partition by node1 order by similarity desc, node2) r from nsim_top n
+    where not exists (select 1 from gedges g where g.src = n.node1 and g.dst = n.node2)) where r <= 10"""))
+def q_node_similarity_recs(spark, sf):
+    r = S.node_similarity_recs(Tables(spark, sf).follows())
+    return r.select("user_id", "recommended_user", rnd(F.col("similarity")).alias("similarity"), "rank")
+
+
+@query("nodes_from_edges", sql(["follows", "users"], """select distinct new_id from
+    (select src new_id from follows union all select dst from follows)
+    where new_id not in (select new_id from users)"""))
+def q_nodes_from_edges(spark, sf):
+    t = Tables(spark, sf)
+    return WR.nodes_from_edges(t.follows(), t.users())
+
+
+# ------------------------------------------------------------------- features
+@query("users_features", sql(["users", "user_games"], """select u.new_id, views, days, partner, mature,
+    array_to_string(list_sort(list(game)), ',') features from users u join user_games g using (new_id)
+    group by u.new_id, views, days, partner, mature"""))
+def q_users_features(spark, sf):
+    t = Tables(spark, sf)
+    j = FT.users_with_features(t.users(), t.user_features())
+    return j.select("new_id", "views", "days", "partner", "mature",
+                    F.array_join("features", ",").alias("features"))
+
+
+@query("minmax_scaled", sql(["base"], 'select new_id, round(views, 6) views, round(days, 6) as "days" from base'))
+def q_minmax_scaled(spark, sf):
+    t = Tables(spark, sf)
+    u = t.users().join(t.user_games().select("new_id").distinct(), "new_id", "left_semi")
+    b = FT.base_columns(u)
+    return b.select("new_id", rnd(F.col("views")).alias("views"), rnd(F.col("days")).alias("days"))
+
+
+@query("game_vocabulary", sql(["vocab"], "select game, game_idx from vocab"))
+def q_game_vocabulary(spark, sf):
+    return FT.game_vocabulary(Tables(spark, sf).user_games())
+
+
+@query("multi_hot", sql(["hot"], "select new_id, game, game_idx from hot"))
+def q_multi_hot(spark, sf):
+    return FT.multi_hot(Tables(spark, sf).user_games()).select("new_id", "game", "game_idx")
+
+
+@query("positional_features", sql(["user_games"], """select new_id, pos, coalesce(games[pos + 1], 0) value
+    from (select new_id, list_sort(list(game)) games from user_games group by new_id) l,
+    range(0, (select max(c) from (select count(*) c from user_games group by new_id))) r(pos)"""))
+def q_positional_features(spark, sf):
+    return FT.positional(Tables(spark, sf).user_features())
+
+
+@query("feature_matrix", sql(["base", "hot"], """select h.new_id, round(coalesce(b.views, 0), 6) views,
+    round(coalesce(b.days, 0), 6) as "days", cast(coalesce(b.partner, 0) as double) partner,
+    cast(coalesce(b.mature, 0) as double) mature,
+    array_to_string(list_sort(list(h.game_idx)), ',') games,
+    cast((select count(*) from vocab) + 4 as integer) n_slots
+    from hot h left join base b using (new_id)
+    group by h.new_id, b.views, b.days, b.partner, b.mature"""))
+def q_feature_matrix(spark, sf):
+    t = Tables(spark, sf)
+    fm = FT.feature_matrix(t.users(), t.user_games())
+    return fm.select("new_id", rnd(F.col("views")).alias("views"), rnd(F.col("days")).alias("days"),
+                     "partner", "mature", F.array_join("games", ",").alias("games"), "n_slots")

@@ -95,3 +95,64 @@ CTES.update({
         from (select distinct game from user_games)"""),
     "hot": (("user_games", "vocab"), "select new_id, game, game_idx from user_games join vocab using (game)"),
 })
+
+
+def h(expr: str) -> str:
+    """DuckDB form of ``hash_order``: first 32 bits of md5(text)."""
+    return f"('0x' || substr(md5({expr}), 1, 8))::BIGINT"
+
+
+CTES.update({
+    "split": (("follows",), f"""select src, dst, (n >= 2 and rn <= (n + 4) // 5) is_test from
+        (select src, dst, count(*) over (partition by src) n,
+                row_number() over (partition by src order by hv, dst) rn
+         from (select src, dst, {h("src || '|' || dst || '|42'")} hv from follows))"""),
+    "uidx": (("users",), "select new_id, row_number() over (order by new_id) - 1 pos from users"),
+    "nusers": (("users",), "select count(*) c from users"),
+    "kfollows": (("follows", "users"), """select src, dst from follows
+        where src in (select new_id from users) and dst in (select new_id from users)"""),
+    "pos": (("kfollows",), f"""select src, dst from kfollows
+        order by {h("src || '|' || dst || '|42'")}, src, dst limit 5000"""),
+    "neg": (("uidx", "nusers", "follows"), f"""select draw, src, dst from
+        (select draw, a.new_id src, b.new_id dst from
+          (select i draw, {h("i || '|u|42'")} % (select c from nusers) pu,
+                  {h("i || '|v|42'")} % (select c from nusers) pv from range(0, 100000) t(i)) d
+          join uidx a on a.pos = d.pu join uidx b on b.pos = d.pv
+          where a.new_id <> b.new_id
+            and not exists (select 1 from follows f where f.src = a.new_id and f.dst = b.new_id))
+        order by draw limit 5000"""),
+    "dataset": (("pos", "neg"), """select src u, dst v, 1 label from pos
+        union all select src, dst, 0 from neg"""),
+    "cands": (("uidx", "nusers"), f"""select user_id, new_id candidate, j from
+        (select user_id, pos, j, row_number() over (partition by user_id order by j) rk from
+          (select user_id, pos, min(j) j from
+            (select new_id user_id, j, {h("new_id || '|' || j || '|42'")} % (select c from nusers) pos
+             from users, range(0, 800) t(j)) group by user_id, pos))
+        join uidx using (pos) where rk <= 200"""),
+    # pair features over the feature-matrix users' graph
+    "fkedges": (("follows", "fusers"), """select distinct src, dst from follows
+        where src in (select new_id from fusers) and dst in (select new_id from fusers)"""),
+    "fund": (("fkedges",), "select src, dst from fkedges union select dst, src from fkedges"),
+    "fnbr": (("fund",), """select src id, count(*) n_nbrs,
+        count(*) + sum(case when src = dst then 1 else 0 end) degree from fund group by src"""),
+    "fvec": (("base", "hot"), """select b.new_id, b.views, b.days, b.partner, b.mature,
+        list(h.game_idx) games,
+        sqrt(b.views * b.views + b.days * b.days + b.partner + b.mature + count(*)) nrm
+        from hot h join base b using (new_id) group by b.new_id, b.views, b.days, b.partner, b.mature"""),
+})
+
+
+def pair_topology_sql(pairs: str) -> str:
+    """SELECT of u, v, common_neighbors, jaccard, adamic_adar for the distinct pairs of CTE ``pairs``."""
+    return f"""select p.u, p.v, coalesce(c.cn, 0) common_neighbors,
+        case when coalesce(nu.n_nbrs, 0) + coalesce(nv.n_nbrs, 0) - coalesce(c.cn, 0) > 0
+             then coalesce(c.cn, 0) / (coalesce(nu.n_nbrs, 0) + coalesce(nv.n_nbrs, 0) - coalesce(c.cn, 0))
+             else 0.0 end jaccard,
+        coalesce(c.aa, 0.0) adamic_adar
+      from (select distinct u, v from {pairs}) p
+      left join (select p2.u, p2.v, count(*) cn,
+                   sum(case when d.degree > 1 then 1.0 / ln(d.degree) else 0.0 end) aa
+                 from (select distinct u, v from {pairs}) p2
+                 join fund a on a.src = p2.u join fund b on b.src = p2.v and b.dst = a.dst
+                 left join fnbr d on d.id = a.dst group by p2.u, p2.v) c on c.u = p.u and c.v = p.v
+      left join fnbr nu on nu.id = p.u left join fnbr nv on nv.id = p.v"""

@@ -305,3 +305,201 @@ def q_feature_matrix(spark, sf):
     fm = FT.feature_matrix(t.users(), t.user_games())
     return fm.select("new_id", rnd(F.col("views")).alias("views"), rnd(F.col("days")).alias("days"),
                      "partner", "mature", F.array_join("games", ",").alias("games"), "n_slots")
+
+
+# ------------------------------------------------------------ sampling
+from linkrec.operators import sampling as SM  # noqa: E402
+from linkrec.operators import metrics as MT  # noqa: E402
+from linkrec.operators import pairs as PF  # noqa: E402
+from linkrec.plans.oracle_sql import h as _h, pair_topology_sql  # noqa: E402
+
+
+@query("edge_split", sql(["split"], "select src, dst, is_test from split"))
+def q_edge_split(spark, sf):
+    return SM.edge_split(Tables(spark, sf).follows())
+
+
+@query("edge_split_salted", sql(["split"], "select src, dst, is_test from split"))
+def q_edge_split_salted(spark, sf):
+    """I1 with hash-range buckets of 4 rows: the skew path gives the same split."""
+    return SM.edge_split(Tables(spark, sf).follows(), hot=4)
+
+
+def _known(t: Tables) -> DataFrame:
+    return G.known_edges(t.follows(), _vertices(t))
+
+
+@query("positive_samples", sql(["pos"], "select src, dst from pos"))
+def q_positive_samples(spark, sf):
+    return SM.positive_samples(_known(Tables(spark, sf)))
+
+
+@query("negative_samples", sql(["neg"], "select draw, src, dst from neg"))
+def q_negative_samples(spark, sf):
+    t = Tables(spark, sf)
+    return SM.negative_samples(spark, t.users(), t.follows())
+
+
+def _dataset(spark, t: Tables) -> DataFrame:
+    pos = SM.positive_samples(_known(t)).select(F.col("src").alias("u"), F.col("dst").alias("v"),
+                                                F.lit(1).alias("label"))
+    neg = SM.negative_samples(spark, t.users(), t.follows()).select(
+        F.col("src").alias("u"), F.col("dst").alias("v"), F.lit(0).alias("label"))
+    return pos.unionByName(neg)
+
+
+@query("stratified_split", sql(["dataset"], f"""select u, v, label, rn <= ceil(0.2 * n) is_test from
+    (select u, v, label, count(*) over (partition by label) n, row_number() over (partition by label
+     order by {_h("u || '|' || v || '|42'")}, u || '|' || v) rn from dataset)"""))
+def q_stratified_split(spark, sf):
+    t = Tables(spark, sf)
+    return SM.stratified_split(_dataset(spark, t), "label", ["u", "v"]).select("u", "v", "label", "is_test")
+
+
+@query("candidates", sql(["cands"], "select user_id, candidate, j from cands"))
+def q_candidates(spark, sf):
+    return SM.candidates(Tables(spark, sf).users())
+
+
+@query("exclude_followed", sql(["cands", "follows"], """select user_id, candidate from cands c
+    where user_id <> candidate and not exists
+      (select 1 from follows f where f.src = c.user_id and f.dst = c.candidate)"""))
+def q_exclude_followed(spark, sf):
+    t = Tables(spark, sf)
+    return SM.exclude_followed(SM.candidates(t.users()), t.follows()).select("user_id", "candidate")
+
+
+_RANKING_SQL = sql(["split"], f"""select round(avg(hits / 10.0), 6) precision_at_k,
+    round(avg(case when n_rel > 0 then hits / n_rel else 0.0 end), 6) recall_at_k,
+    round(avg(case when idcg > 0 then dcg / idcg else 0.0 end), 6) ndcg_at_k,
+    round(avg(case when hits > 0 then 1.0 else 0.0 end), 6) hit_rate_at_k,
+    count(*) users_evaluated from per""", extra={
+    "trd": "select distinct src, dst from split where not is_test",
+    "te": "select src user_id, dst item from split where is_test",
+    "tsz": "select src, count(*) n from trd group by src",
+    "nsim": """select node1, node2, c / (s1.n + s2.n - c) sim from
+        (select a.src node1, b.src node2, count(*) c from trd a join trd b on a.dst = b.dst and a.src <> b.src
+         group by a.src, b.src) p join tsz s1 on s1.src = p.node1 join tsz s2 on s2.src = p.node2""",
+    "top": """select * from (select *, row_number() over (partition by node1 order by sim desc, node2) r
+        from nsim) where r <= 10""",
+    "recs": """select node1 user_id, node2 rec, row_number() over (partition by node1 order by sim desc, node2) rank
+        from top t where not exists (select 1 from trd g where g.src = t.node1 and g.dst = t.node2)""",
+    "eu": f"""select user_id from (select distinct user_id from te)
+        order by {_h("user_id || '|42'")}, user_id limit 200""",
+    "per": """select eu.user_id,
+        (select count(*) from te where te.user_id = eu.user_id) n_rel,
+        (select count(*) from recs r where r.user_id = eu.user_id and r.rank <= 10
+            and r.rec in (select item from te where te.user_id = eu.user_id)) hits,
+        (select coalesce(sum(1 / log2(r.rank + 1)), 0) from recs r where r.user_id = eu.user_id and r.rank <= 10
+            and r.rec in (select item from te where te.user_id = eu.user_id)) dcg,
+        (select coalesce(sum(1 / log2(i + 1)), 0) from range(1, least(10,
+            (select count(*) from te where te.user_id = eu.user_id)) + 1) t(i)) idcg
+        from eu"""})
+
+
+@query("ranking_metrics", _RANKING_SQL)
+def q_ranking_metrics(spark, sf):
+    """K1-K5: node-similarity recommendations from the train edges, judged on
+    the held-out edges of 200 sampled test users, k = 10."""
+    t = Tables(spark, sf)
+    sp = SM.edge_split(t.follows())
+    train = sp.where(~F.col("is_test")).select("src", "dst")
+    test = sp.where(F.col("is_test")).select(F.col("src").alias("user_id"), F.col("dst").alias("item"))
+    recs = S.node_similarity_recs(train)
+    users = SM.sample_users(test, "user_id", 200)
+    m = MT.ranking_metrics(recs, test, users, k=10)
+    return m.select(*[rnd(F.col(c)).alias(c) for c in ("precision_at_k", "recall_at_k", "ndcg_at_k", "hit_rate_at_k")],
+                    "users_evaluated")
+
+
+def _pair_graph(t: Tables):
+    fm_users = t.users().join(t.user_games().select("new_id").distinct(), "new_id", "left_semi")
+    v = fm_users.select(F.col("new_id").alias("id"))
+    und = G.undirected(G.directed_graph(t.follows(), v))
+    return v, und, G.undirected_degree(und, v)
+
+
+@query("binary_metrics", sql(["dataset", "fund", "fnbr"], """select
+    round((select sum(pos * (coalesce(below, 0) + 0.5 * neg)) from asc_s) / ((select sum(pos) from bs) * (select sum(neg) from bs)), 6) auc,
+    round((select sum(pos / (select sum(pos) from bs) * cp / (cp + cn)) from desc_s), 6) average_precision,
+    round((select 2.0 * sum(case when score > 0.5 and label = 1 then 1 else 0 end) /
+        (2 * sum(case when score > 0.5 and label = 1 then 1 else 0 end)
+         + sum(case when score > 0.5 and label = 0 then 1 else 0 end)
+         + sum(case when score <= 0.5 and label = 1 then 1 else 0 end)) from scored), 6) f1""", extra={
+    "topo": pair_topology_sql("dataset"),
+    "scored": "select d.label, t.jaccard score from dataset d join topo t on t.u = d.u and t.v = d.v",
+    "bs": "select score s, sum(label) pos, sum(1 - label) neg from scored group by score",
+    "asc_s": """select pos, neg, sum(neg) over (order by s rows between unbounded preceding and 1 preceding) below
+        from bs""",
+    "desc_s": """select pos, sum(pos) over (order by s desc rows between unbounded preceding and current row) cp,
+        sum(neg) over (order by s desc rows between unbounded preceding and current row) cn from bs"""}))
+def q_binary_metrics(spark, sf):
+    """J7-J9 for the neighbour-Jaccard link predictor on the pair dataset."""
+    t = Tables(spark, sf)
+    v, und, udeg = _pair_graph(t)
+    ds = _dataset(spark, t)
+    topo = PF.topology(ds, und, udeg)
+    scored = ds.join(topo, ["u", "v"]).select("label", F.col("jaccard").alias("score"))
+    m = MT.binary_metrics(scored)
+    return m.select(*[rnd(F.col(c)).alias(c) for c in ("auc", "average_precision", "f1")])
+
+
+_PF13 = ["common_neighbors", "jaccard", "adamic_adar", "content_cosine",
+         "in_degree_u", "in_degree_v", "in_degree_diff", "out_degree_u", "out_degree_v", "out_degree_diff",
+         "clustering_u", "clustering_v", "clustering_diff"]
+
+
+@query("pair_features", sql(["dataset", "fund", "fnbr", "fvec", "fkedges", "fusers"], """select d.u, d.v, d.label,
+    cast(t.common_neighbors as double) common_neighbors, round(t.jaccard, 6) jaccard,
+    round(t.adamic_adar, 6) adamic_adar, round(cc.content_cosine, 6) content_cosine,
+    cast(coalesce(iu.ind, 0) as double) in_degree_u, cast(coalesce(iv.ind, 0) as double) in_degree_v,
+    cast(abs(coalesce(iu.ind, 0) - coalesce(iv.ind, 0)) as double) in_degree_diff,
+    cast(coalesce(ou.outd, 0) as double) out_degree_u, cast(coalesce(ov.outd, 0) as double) out_degree_v,
+    cast(abs(coalesce(ou.outd, 0) - coalesce(ov.outd, 0)) as double) out_degree_diff,
+    round(coalesce(cu.cl, 0), 6) clustering_u, round(coalesce(cv.cl, 0), 6) clustering_v,
+    round(abs(coalesce(cu.cl, 0) - coalesce(cv.cl, 0)), 6) clustering_diff
+    from dataset d
+    join (select new_id from fusers) ku on ku.new_id = d.u join (select new_id from fusers) kv on kv.new_id = d.v
+    join topo t on t.u = d.u and t.v = d.v
+    join cc on cc.u = d.u and cc.v = d.v
+    left join (select dst id, count(*) ind from fkedges group by dst) iu on iu.id = d.u
+    left join (select dst id, count(*) ind from fkedges group by dst) iv on iv.id = d.v
+    left join (select src id, count(*) outd from fkedges group by src) ou on ou.id = d.u
+    left join (select src id, count(*) outd from fkedges group by src) ov on ov.id = d.v
+    left join clus cu on cu.id = d.u left join clus cv on cv.id = d.v""", extra={
+    "topo": pair_topology_sql("dataset"),
+    "cc": """select p.u, p.v, case when a.nrm * b.nrm > 0 then
+        (a.views * b.views + a.days * b.days + a.partner * b.partner + a.mature * b.mature
+         + len(list_intersect(a.games, b.games))) / (a.nrm * b.nrm) else 0.0 end content_cosine
+        from (select distinct u, v from dataset) p join fvec a on a.new_id = p.u join fvec b on b.new_id = p.v""",
+    "s": "select src, dst from fund where src <> dst",
+    "sdeg": "select src v, count(*) d from s group by src",
+    "tri": """select e1.src v, count(*) t from s e1 join s e2 on e1.src = e2.src and e1.dst < e2.dst
+        join s e3 on e3.src = e1.dst and e3.dst = e2.dst group by e1.src""",
+    "clus": """select sdeg.v id, case when d >= 2 then 2.0 * coalesce(t, 0) / (d * (d - 1)) else 0.0 end cl
+        from sdeg left join tri using (v)"""}))
+def q_pair_features(spark, sf):
+    """G13-G16 without the svd / PageRank / community columns (those have golden tests)."""
+    t = Tables(spark, sf)
+    v, und, udeg = _pair_graph(t)
+    directed = G.directed_graph(t.follows(), v)
+    nodes = G.degrees(directed, v).join(G.clustering(und, v), "id").withColumn(
+        "pagerank", F.lit(0.0)).withColumn("community", F.lit(None).cast("long"))
+    fm = FT.feature_matrix(t.users(), t.user_games())
+    pf = PF.pair_features(_dataset(spark, t), und, udeg, nodes, fm=fm)
+    return pf.select("u", "v", "label", "common_neighbors",
+                     *[rnd(F.col(c)).alias(c) for c in ("jaccard", "adamic_adar", "content_cosine")],
+                     "in_degree_u", "in_degree_v", "in_degree_diff", "out_degree_u", "out_degree_v",
+                     "out_degree_diff",
+                     *[rnd(F.col(c)).alias(c) for c in ("clustering_u", "clustering_v", "clustering_diff")])
+
+
+@query("pair_content_cosine", sql(["dataset", "fvec"], """select p.u, p.v, round(case when a.nrm * b.nrm > 0 then
+    (a.views * b.views + a.days * b.days + a.partner * b.partner + a.mature * b.mature
+     + len(list_intersect(a.games, b.games))) / (a.nrm * b.nrm) else 0.0 end, 6) content_cosine
+    from (select distinct u, v from dataset) p join fvec a on a.new_id = p.u join fvec b on b.new_id = p.v"""))
+def q_pair_content_cosine(spark, sf):
+    t = Tables(spark, sf)
+    fm = FT.feature_matrix(t.users(), t.user_games())
+    c = PF.pair_content_cosine(_dataset(spark, t), fm)
+    return c.select("u", "v", rnd(F.col("content_cosine")).alias("content_cosine"))

@@ -503,3 +503,65 @@ def q_pair_content_cosine(spark, sf):
     fm = FT.feature_matrix(t.users(), t.user_games())
     c = PF.pair_content_cosine(_dataset(spark, t), fm)
     return c.select("u", "v", rnd(F.col("content_cosine")).alias("content_cosine"))
+
+
+# ------------------------------------------------------ PageRank, communities
+from linkrec.operators import pagerank as PRK  # noqa: E402
+from linkrec.operators import communities as CM  # noqa: E402
+
+
+def _graph(t: Tables):
+    v = _vertices(t)
+    d = G.directed_graph(t.follows(), v)
+    return v, d
+
+
+@query("pagerank_unnormalised", sql(["vtx", "kedges"], """select id, round(r, 6) pagerank from pr where it = 20""",
+                                    extra={}).replace("with ", "with recursive ", 1).replace(
+    "\nselect id, round(r, 6) pagerank from pr where it = 20", """,
+od as (select src, count(*) d from kedges group by src),
+pr(id, r, it) as (
+  select id, 0.15::double, 0 from vtx
+  union all
+  select vtx.id, 0.15 + 0.85 * coalesce(sum(z.c), 0), (select max(it) from pr) + 1
+  from vtx left join (select kedges.dst, p.r / od.d c from pr p join kedges on kedges.src = p.id
+                      join od on od.src = p.id) z on z.dst = vtx.id
+  where (select max(it) from pr) < 20
+  group by vtx.id)
+select id, round(r, 6) pagerank from pr where it = 20"""))
+def q_pagerank_unnormalised(spark, sf):
+    v, d = _graph(Tables(spark, sf))
+    pr = PRK.pagerank_unnormalised(v, d)
+    return pr.select("id", rnd(F.col("pagerank")).alias("pagerank"))
+
+
+@query("pagerank_normalised")
+def q_pagerank_normalised(spark, sf):
+    v, d = _graph(Tables(spark, sf))
+    return PRK.pagerank_normalised(v, d)
+
+
+@query("communities")
+def q_communities(spark, sf):
+    """G8 Louvain on the undirected user graph (labels are arbitrary ids)."""
+    v, d = _graph(Tables(spark, sf))
+    return CM.louvain(v, G.undirected(d))
+
+
+@query("communities_lpa")
+def q_communities_lpa(spark, sf):
+    v, d = _graph(Tables(spark, sf))
+    return CM.label_propagation(v, G.undirected(d))
+
+
+@query("community_sizes")
+def q_community_sizes(spark, sf):
+    v, d = _graph(Tables(spark, sf))
+    return CM.community_sizes(CM.louvain(v, G.undirected(d)))
+
+
+@query("modularity")
+def q_modularity(spark, sf):
+    v, d = _graph(Tables(spark, sf))
+    und = G.undirected(d)
+    return CM.modularity(und, CM.louvain(v, und))

@@ -64,3 +64,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "linkrec-tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "state"):
+    """Cut lineage by writing ``df`` as parquet under the shared checkpoint
+    folder and reading it back.
+
+    Used by the iterative operators: the reread plan is a plain file scan, so
+    neither planning time nor recovery replays grow with the round number
+    (a checkpointed relation still carries information about its origin plan,
+    which the optimizer walks again every round).
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -565,3 +565,49 @@ def q_modularity(spark, sf):
     v, d = _graph(Tables(spark, sf))
     und = G.undirected(d)
     return CM.modularity(und, CM.louvain(v, und))
+
+
+# ------------------------------------------------------------------ streaming
+from linkrec.session import scratch_path  # noqa: E402
+from linkrec.streaming import scores as ST  # noqa: E402
+
+
+def _stream_run(spark, sf, with_users: bool):
+    """Write the events table as JSON-lines files (4 of them -> 4 micro-batches),
+    run the scoring stream to completion, return the sink."""
+    t = Tables(spark, sf)
+    src = scratch_path(spark, "events-json")
+    ST.events_as_json(t.events()).repartition(4).write.mode("overwrite").text(src)
+    raw = ST.json_file_source(spark, src, files_per_trigger=1)
+    out = scratch_path(spark, "stream-out")
+    sink, _ = ST.run_score_stream(spark, raw, out, scratch_path(spark, "stream-ckpt"),
+                                  users=t.users() if with_users else None)
+    return sink
+
+
+@query("stream_decode", sql(["ev"], "select user_id, action, target_user_id from ev"))
+def q_stream_decode(spark, sf):
+    t = Tables(spark, sf)
+    src = scratch_path(spark, "events-json")
+    ST.events_as_json(t.events()).repartition(4).write.mode("overwrite").text(src)
+    out = scratch_path(spark, "decoded")
+    q = (ST.decode(ST.json_file_source(spark, src)).where(~F.col("_bad"))
+         .select("user_id", "action", "target_user_id")
+         .writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", scratch_path(spark, "decode-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("stream_interaction_scores", sql(["inter"], "select user_id, target_user_id, interaction_score from inter"))
+def q_stream_interaction_scores(spark, sf):
+    sink = _stream_run(spark, sf, with_users=False)
+    return sink.scores.current().select("user_id", "target_user_id", "interaction_score")
+
+
+@query("interaction_edges", sql(["inter", "users"], """select user_id src, target_user_id dst, interaction_score weight
+    from inter where user_id in (select new_id from users) and target_user_id in (select new_id from users)"""))
+def q_interaction_edges(spark, sf):
+    sink = _stream_run(spark, sf, with_users=True)
+    return sink.edges.current().select("src", "dst", "weight")

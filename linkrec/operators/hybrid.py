@@ -45,8 +45,11 @@ def svd_factors(train_edges: DataFrame, users: DataFrame, k: int = N_FACTORS,
     A = FZ.adjacency(train_edges, idx)
     U, s, V = FZ.randomized_svd(A, k, power_iters=power_iters)
     back = idx.select(F.col("pos").alias("id"), F.col("new_id"))
-    emb = FZ.embeddings(U, s).join(back, "id").select(F.col("new_id").alias("id"), "vec")
-    vv = V.join(back, "id").select(F.col("new_id").alias("id"), "vec")
+    zero = F.array_repeat(F.lit(0.0), len(s))
+    # every user gets a row; users without edges have zero factor rows
+    emb = back.join(FZ.embeddings(U, s), "id", "left").select(
+        F.col("new_id").alias("id"), F.coalesce("vec", zero).alias("vec"))
+    vv = back.join(V, "id", "left").select(F.col("new_id").alias("id"), F.coalesce("vec", zero).alias("vec"))
     return Factors(FZ.as_sparse_rows(emb), FZ.as_sparse_rows(vv), len(s), [float(x) for x in s])
 
 

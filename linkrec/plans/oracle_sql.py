@@ -156,3 +156,27 @@ def pair_topology_sql(pairs: str) -> str:
                  join fund a on a.src = p2.u join fund b on b.src = p2.v and b.dst = a.dst
                  left join fnbr d on d.id = a.dst group by p2.u, p2.v) c on c.u = p.u and c.v = p.v
       left join fnbr nu on nu.id = p.u left join fnbr nv on nv.id = p.v"""
+
+CTES.update({
+    "fcos": (("fvec",), """select a.new_id u, b.new_id v, case when a.nrm * b.nrm > 0 then
+        (a.views * b.views + a.days * b.days + a.partner * b.partner + a.mature * b.mature
+         + len(list_intersect(a.games, b.games))) / (a.nrm * b.nrm) else 0.0 end c
+        from fvec a cross join fvec b"""),
+    "trn": (("split",), "select distinct src, dst from split where not is_test"),
+    "amat": (("split", "fusers"), """select src i, dst j, count(*) a from split where not is_test
+        and src in (select new_id from fusers) and dst in (select new_id from fusers) group by src, dst"""),
+    "cfol": (("amat",), "select x.i u, y.i v, sum(x.a * y.a) s from amat x join amat y on x.j = y.j group by x.i, y.i"),
+    "allp": (("fcos", "cfol"), "select f.u, f.v, f.c, coalesce(cf.s, 0) s from fcos f left join cfol cf using (u, v)"),
+    "umm": (("allp",), """select u, min(case when u <> v then c end) cmin, max(case when u <> v then c end) cmax,
+        min(s) smin, max(s) smax from allp group by u"""),
+})
+
+
+def hybrid_sql(alpha_list: str, users_filter: str = "") -> str:
+    """Blended stand-in scores per (alpha, u, v) after exclusion, ranked."""
+    return f"""select alpha, u, v, score, row_number() over (partition by alpha, u order by score desc, v) rk from
+        (select a.alpha, p.u, p.v, a.alpha * (p.c - m.cmin) / (m.cmax - m.cmin + 1e-9)
+                + (1 - a.alpha) * (p.s - m.smin) / (m.smax - m.smin + 1e-9) score
+         from allp p join umm m using (u) cross join (select unnest(cast({alpha_list} as double[])) alpha) a
+         where p.u <> p.v {users_filter}
+           and not exists (select 1 from trn t where t.src = p.u and t.dst = p.v))"""

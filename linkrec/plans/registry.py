@@ -611,3 +611,180 @@ def q_stream_interaction_scores(spark, sf):
 def q_interaction_edges(spark, sf):
     sink = _stream_run(spark, sf, with_users=True)
     return sink.edges.current().select("src", "dst", "weight")
+
+
+# ------------------------------------------- content, SVD, hybrid
+from linkrec.operators import hybrid as HY  # noqa: E402
+from linkrec.operators import factorize as FZ  # noqa: E402
+from linkrec.plans.oracle_sql import hybrid_sql  # noqa: E402
+
+
+def _fm_users(t: Tables) -> DataFrame:
+    return t.users().join(t.user_games().select("new_id").distinct(), "new_id", "left_semi")
+
+
+def _content(t: Tables):
+    return HY.content_rows(FT.feature_matrix(t.users(), t.user_games()))
+
+
+def _train_edges(t: Tables) -> DataFrame:
+    return SM.edge_split(t.follows()).where(~F.col("is_test")).select("src", "dst")
+
+
+@query("content_topk", sql(["fcos"], """select u user_id, v recommended_user, round(c, 6) score, rk as rank from
+    (select u, v, c, row_number() over (partition by u order by c desc, v) rk from fcos where u <> v)
+    where rk <= 10"""))
+def q_content_topk(spark, sf):
+    c, width = _content(Tables(spark, sf))
+    r = HY.content_topk(c, width, k=10)
+    return r.select("user_id", "recommended_user", rnd(F.col("score")).alias("score"), "rank")
+
+
+@query("content_recs", sql(["fcos", "trn"], """select u user_id, v recommended_user, round(c, 6) score, rk as rank from
+    (select u, v, c, row_number() over (partition by u order by c desc, v) rk from fcos f
+     where u <> v and not exists (select 1 from trn t where t.src = f.u and t.dst = f.v))
+    where rk <= 10"""))
+def q_content_recs(spark, sf):
+    t = Tables(spark, sf)
+    c, width = _content(t)
+    r = HY.content_topk(c, width, k=10, exclude=_train_edges(t))
+    return r.select("user_id", "recommended_user", rnd(F.col("score")).alias("score"), "rank")
+
+
+def _stand_in(t: Tables):
+    c, width = _content(t)
+    rows, fw = HY.common_follow_rows(_train_edges(t), _fm_users(t))
+    return c, width, rows, fw
+
+
+@query("hybrid_scores", sql(["allp", "umm", "trn"], """select u user_id, v recommended_user, round(score, 6) score,
+    rk as rank from h where rk <= 10""", extra={"h": hybrid_sql("[0.5]")}))
+def q_hybrid_scores(spark, sf):
+    """H11 with the multi-hot cosine and the untruncated A Aᵀ (common follows)
+    as the two scores, alpha = 0.5, train follows excluded."""
+    t = Tables(spark, sf)
+    c, width, rows, fw = _stand_in(t)
+    r = HY.hybrid_recs(c, width, rows, rows, fw, alphas=(0.5,), k=10, exclude=_train_edges(t))
+    return r.select("user_id", "recommended_user", rnd(F.col("score")).alias("score"), "rank")
+
+
+@query("recs_save", sql(["allp", "umm", "trn"], """select u user_id, v recommended_user, rk as rank
+    from h where rk <= 10""", extra={"h": hybrid_sql("[0.0]")}))
+def q_recs_save(spark, sf):
+    """H13 + A14: recommendations for every user (alpha 0), saved one row per
+    (user, recommended user) with its rank."""
+    t = Tables(spark, sf)
+    c, width, rows, fw = _stand_in(t)
+    r = HY.hybrid_recs(c, width, rows, rows, fw, alphas=(0.0,), k=10, exclude=_train_edges(t))
+    saved = WR.truncate_and_load(r.select("user_id", "recommended_user", "rank"),
+                                 ["user_id", "recommended_user"], [F.col("rank")])
+    return saved
+
+
+_SWEEP_USERS = f"""and p.u in (select user_id from (select distinct src user_id from split where is_test)
+    order by {_h("user_id || '|42'")}, user_id limit 200)"""
+
+
+@query("alpha_sweep", sql(["allp", "umm", "trn", "split"], """select alpha,
+    round(avg(hits / 10.0), 6) precision_at_k,
+    round(avg(case when n_rel > 0 then hits / n_rel else 0.0 end), 6) recall_at_k,
+    round(avg(case when idcg > 0 then dcg / idcg else 0.0 end), 6) ndcg_at_k,
+    round(avg(case when hits > 0 then 1.0 else 0.0 end), 6) hit_rate_at_k,
+    count(*) users_evaluated
+    from (select a.alpha, eu.user_id,
+            (select count(*) from te where te.user_id = eu.user_id) n_rel,
+            (select count(*) from h where h.alpha = a.alpha and h.u = eu.user_id and h.rk <= 10
+                and h.v in (select item from te where te.user_id = eu.user_id)) hits,
+            (select coalesce(sum(1 / log2(h.rk + 1)), 0) from h where h.alpha = a.alpha and h.u = eu.user_id
+                and h.rk <= 10 and h.v in (select item from te where te.user_id = eu.user_id)) dcg,
+            (select coalesce(sum(1 / log2(i + 1)), 0) from range(1, least(10,
+                (select count(*) from te where te.user_id = eu.user_id)) + 1) t(i)) idcg
+          from eu cross join (select unnest(cast([0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0] as double[])) alpha) a)
+    group by alpha""", extra={
+    "te": "select src user_id, dst item from split where is_test",
+    "eu": f"""select user_id from (select distinct user_id from te)
+        order by {_h("user_id || '|42'")}, user_id limit 200""",
+    "h": hybrid_sql("[0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]", _SWEEP_USERS)}))
+def q_alpha_sweep(spark, sf):
+    """H12 + K5: 11 alphas scored in one block pass for the 200 sampled test
+    users, each evaluated with precision / recall / NDCG / hit rate at 10."""
+    t = Tables(spark, sf)
+    sp = SM.edge_split(t.follows())
+    test = sp.where(F.col("is_test")).select(F.col("src").alias("user_id"), F.col("dst").alias("item"))
+    users = SM.sample_users(test, "user_id", 200)
+    c, width, rows, fw = _stand_in(t)
+    left_users = c.join(users.withColumnRenamed("user_id", "id"), "id", "left_semi")
+    recs = _hybrid_for(left_users, c, width, rows, fw, HY.ALPHAS, sp.where(~F.col("is_test")).select("src", "dst"))
+    from linkrec.session import materialize as _mat
+    recs = _mat(recs, "sweep-recs")          # scored once, evaluated per alpha
+    per = []
+    for a in HY.ALPHAS:
+        m = MT.ranking_metrics(recs.where(F.col("alpha") == a), test, users, k=10)
+        per.append(m.select(F.lit(a).alias("alpha"), "*"))
+    out = per[0]
+    for p in per[1:]:
+        out = out.unionByName(p)
+    return out.select("alpha", *[rnd(F.col(c)).alias(c) for c in ("precision_at_k", "recall_at_k", "ndcg_at_k",
+                                                                    "hit_rate_at_k")], "users_evaluated")
+
+
+def _hybrid_for(left_content, content, width, frows, fw, alphas, exclude):
+    """Hybrid scores for the users of ``left_content`` against all candidates."""
+    from linkrec.operators import blocked as BL
+    from linkrec.session import materialize as _mat
+    left, _ = BL.score_rows(left_content, frows, frows)
+    _, right = BL.score_rows(content, frows, frows)
+    nb = BL.n_blocks(content.count(), 2048)
+    mm = _mat(BL.user_minmax(left, right, (width, fw), nb), "sweep-minmax")
+    return BL.blocked_topk(left, right, (width, fw), 10, nb, list(alphas), exclude, minmax=mm, mode="hybrid")
+
+
+@query("svd_embeddings")
+def q_svd_embeddings(spark, sf):
+    """H7 (link-prediction form): 32 factors of the full known follow graph; U Σ rows."""
+    t = Tables(spark, sf)
+    users = _fm_users(t)
+    f = HY.svd_factors(t.follows(), users, k=32)
+    return f.left.select(F.col("id").alias("new_id"), F.col("f_val").alias("embedding"))
+
+
+@query("svd_scores")
+def q_svd_scores(spark, sf):
+    """H8: per user the 10 largest entries of the reconstructed row (U Σ Vᵀ)[u]."""
+    t = Tables(spark, sf)
+    c, width = _content(t)
+    f = HY.svd_factors(_train_edges(t), _fm_users(t), k=HY.N_FACTORS)
+    return HY.svd_recs(c, width, f, k=10)
+
+
+@query("svd_recs")
+def q_svd_recs(spark, sf):
+    """H9: SVD recommendations, self and train follows skipped."""
+    t = Tables(spark, sf)
+    c, width = _content(t)
+    tr = _train_edges(t)
+    f = HY.svd_factors(tr, _fm_users(t), k=HY.N_FACTORS)
+    return HY.svd_recs(c, width, f, k=10, exclude=tr)
+
+
+@query("hybrid_recs")
+def q_hybrid_recs(spark, sf):
+    """H11/H13 as in the similarity job: content + SVD, alpha = 0."""
+    t = Tables(spark, sf)
+    c, width = _content(t)
+    tr = _train_edges(t)
+    f = HY.svd_factors(tr, _fm_users(t), k=HY.N_FACTORS)
+    r = HY.hybrid_recs(c, width, f.left, f.right, f.width, alphas=(0.0,), k=10, exclude=tr)
+    return r.select("user_id", "recommended_user", "score", "rank")
+
+
+@query("pair_svd_dot")
+def q_pair_svd_dot(spark, sf):
+    """Dot of the two users' U Σ rows for the pair dataset."""
+    t = Tables(spark, sf)
+    f = HY.svd_factors(t.follows(), _fm_users(t), k=32)
+    emb = f.left.select("id", F.col("f_val").alias("emb"))
+    ds = _dataset(spark, t).select("u", "v").distinct()
+    eu = emb.select(F.col("id").alias("u"), F.col("emb").alias("_eu"))
+    ev = emb.select(F.col("id").alias("v"), F.col("emb").alias("_ev"))
+    return ds.join(eu, "u").join(ev, "v").select("u", "v", PF.dense_dot(F.col("_eu"), F.col("_ev")).alias("svd_dot"))

@@ -18,16 +18,18 @@ def users_with_features(users: DataFrame, user_features: DataFrame) -> DataFrame
 
 def minmax(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
     """(x - min) / (max - min) per column over the whole frame; a constant
-    column maps to 0 (MLlib's MinMaxScaler would give 0.5).  min and max are
-    scalar subqueries: one partial/final aggregate, no join."""
+    column maps to 0 (MLlib's MinMaxScaler would give 0.5).  Fitted like a
+    scaler: one aggregate action returns the single row of min/max."""
+    # fit: one aggregate pass (partial min/max per task), one row of parameters
     stats = df.agg(*[F.min(c).alias(f"_mn_{c}") for c in cols],
-                   *[F.max(c).alias(f"_mx_{c}") for c in cols])
+                   *[F.max(c).alias(f"_mx_{c}") for c in cols]).first()
     out = df
     for c in cols:
-        mn = stats.select(f"_mn_{c}").scalar()
-        mx = stats.select(f"_mx_{c}").scalar()
-        rng = mx - mn
-        out = out.withColumn(c + suffix, F.when(rng > 0, (F.col(c) - mn) / rng).otherwise(F.lit(0.0)))
+        mn, mx = stats[f"_mn_{c}"], stats[f"_mx_{c}"]
+        if mn is None or mx is None or mx <= mn:
+            out = out.withColumn(c + suffix, F.lit(0.0))
+        else:
+            out = out.withColumn(c + suffix, (F.col(c) - F.lit(float(mn))) / F.lit(float(mx - mn)))
     return out
 
 

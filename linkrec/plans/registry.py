@@ -341,11 +341,13 @@ def q_negative_samples(spark, sf):
 
 
 def _dataset(spark, t: Tables) -> DataFrame:
+    """Labelled sample pairs (I2 + I3), written once and reused."""
+    from linkrec.session import materialize as _mat
     pos = SM.positive_samples(_known(t)).select(F.col("src").alias("u"), F.col("dst").alias("v"),
                                                 F.lit(1).alias("label"))
     neg = SM.negative_samples(spark, t.users(), t.follows()).select(
         F.col("src").alias("u"), F.col("dst").alias("v"), F.lit(0).alias("label"))
-    return pos.unionByName(neg)
+    return _mat(pos.unionByName(neg), "pair-sample")
 
 
 @query("stratified_split", sql(["dataset"], f"""select u, v, label, rn <= ceil(0.2 * n) is_test from
@@ -788,3 +790,98 @@ def q_pair_svd_dot(spark, sf):
     eu = emb.select(F.col("id").alias("u"), F.col("emb").alias("_eu"))
     ev = emb.select(F.col("id").alias("v"), F.col("emb").alias("_ev"))
     return ds.join(eu, "u").join(ev, "v").select("u", "v", PF.dense_dot(F.col("_eu"), F.col("_ev")).alias("svd_dot"))
+
+
+# ------------------------------------------------------- models
+from linkrec.operators import models as MD  # noqa: E402
+from linkrec.plans.link_prediction import LinkPrediction  # noqa: E402
+
+
+def _lp(spark, sf, **kw) -> LinkPrediction:
+    t = Tables(spark, sf)
+    return LinkPrediction(spark, t.users(), t.user_games(), t.follows(), **kw)
+
+
+@query("pair_dataset")
+def q_pair_dataset(spark, sf):
+    """5,000 positive + 5,000 negative pairs with all 18 features."""
+    lp = _lp(spark, sf)
+    return lp.dataset.select("u", "v", "label", "is_test", *PF.FEATURE_NAMES)
+
+
+_TOPO3 = ["common_neighbors", "jaccard", "adamic_adar"]
+
+
+@query("standardised", sql(["dataset", "fund", "fnbr"], f"""select u, v, label, is_test,
+    round((common_neighbors - (select avg(common_neighbors) from tr)) /
+          coalesce(nullif((select stddev_pop(common_neighbors) from tr), 0), 1), 6) common_neighbors,
+    round((jaccard - (select avg(jaccard) from tr)) /
+          coalesce(nullif((select stddev_pop(jaccard) from tr), 0), 1), 6) jaccard,
+    round((adamic_adar - (select avg(adamic_adar) from tr)) /
+          coalesce(nullif((select stddev_pop(adamic_adar) from tr), 0), 1), 6) adamic_adar
+    from sp""", extra={
+    "topo": pair_topology_sql("dataset"),
+    "feat": """select d.u, d.v, d.label, cast(t.common_neighbors as double) common_neighbors, t.jaccard, t.adamic_adar
+        from dataset d join topo t on t.u = d.u and t.v = d.v""",
+    "sp": f"""select *, rn <= ceil(0.2 * n) is_test from (select *, count(*) over (partition by label) n,
+        row_number() over (partition by label order by {_h("u || '|' || v || '|42'")}, u || '|' || v) rn from feat)""",
+    "tr": "select * from sp where not is_test"}))
+def q_standardised(spark, sf):
+    """Topology features standardised with the train split's mean and
+    population sd, applied to both splits."""
+    t = Tables(spark, sf)
+    v, und, udeg = _pair_graph(t)
+    ds = _dataset(spark, t)
+    feat = ds.join(PF.topology(ds, und, udeg), ["u", "v"]).withColumn(
+        "common_neighbors", F.col("common_neighbors").cast("double"))
+    sp = SM.stratified_split(feat, "label", ["u", "v"])
+    tr, (te,) = MD.standardise(sp.where(~F.col("is_test")), [sp.where(F.col("is_test"))], _TOPO3)
+    out = tr.unionByName(te)
+    return out.select("u", "v", "label", "is_test", *[rnd(F.col(c)).alias(c) for c in _TOPO3])
+
+
+@query("link_lr")
+def q_link_lr(spark, sf):
+    return _lp(spark, sf).logistic[1]
+
+
+@query("link_gbt")
+def q_link_gbt(spark, sf):
+    return _lp(spark, sf).boosted[1]
+
+
+@query("link_sage")
+def q_link_sage(spark, sf):
+    return _lp(spark, sf).sage[1]
+
+
+@query("best_model")
+def q_best_model(spark, sf):
+    return _lp(spark, sf).best()
+
+
+@query("ml_recs")
+def q_ml_recs(spark, sf):
+    """H14 for every user: 200 candidates, boosted-tree scores, top 10."""
+    return _lp(spark, sf).recommendations()
+
+
+@query("sage_mean_agg", sql(["base", "fkedges"], """select id, pos, round(value, 6) value from (
+    select new_id id, 0 pos, views value from base union all select new_id, 1, days from base
+    union all select new_id, 2, partner from base union all select new_id, 3, mature from base
+    union all select b.new_id, 4, coalesce(m.v0, 0) from base b left join m on m.dst = b.new_id
+    union all select b.new_id, 5, coalesce(m.v1, 0) from base b left join m on m.dst = b.new_id
+    union all select b.new_id, 6, coalesce(m.v2, 0) from base b left join m on m.dst = b.new_id
+    union all select b.new_id, 7, coalesce(m.v3, 0) from base b left join m on m.dst = b.new_id)""", extra={
+    "m": """select e.dst, avg(s.views) v0, avg(s.days) v1, avg(s.partner) v2, avg(s.mature) v3
+        from fkedges e join base s on s.new_id = e.src group by e.dst"""}))
+def q_sage_mean_agg(spark, sf):
+    """J6, one hop: base features concatenated with the mean over in-neighbours."""
+    t = Tables(spark, sf)
+    fm = FT.feature_matrix(t.users(), t.user_games())
+    v = fm.select(F.col("new_id").alias("id"))
+    d = G.directed_graph(t.follows(), v)
+    z0 = fm.select(F.col("new_id").alias("id"), F.array("views", "days", "partner", "mature").alias("z"))
+    z = MD.sage_mean_aggregate(z0, d, hops=1)
+    return z.select("id", F.posexplode("z").alias("pos", "value")).select(
+        "id", F.col("pos").cast("bigint").alias("pos"), rnd(F.col("value")).alias("value"))

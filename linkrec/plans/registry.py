@@ -885,3 +885,104 @@ def q_sage_mean_agg(spark, sf):
     z = MD.sage_mean_aggregate(z0, d, hops=1)
     return z.select("id", F.posexplode("z").alias("pos", "value")).select(
         "id", F.col("pos").cast("bigint").alias("pos"), rnd(F.col("value")).alias("value"))
+
+
+# ------------------------------------------------ sources and keyed writes (A, B)
+from linkrec.functions.exprs import parse_int_list  # noqa: E402
+from linkrec.sources import files as FS  # noqa: E402
+
+
+def _users_csv_text(t: Tables) -> DataFrame:
+    """users as the loaders' CSV text, with mixed-case boolean spellings."""
+    c = t.raw("customer")
+    return c.select(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_nationkey").cast("string").alias("days"),
+        F.when(F.col("c_acctbal") < 0, F.lit("True")).otherwise(F.lit("false")).alias("mature"),
+        F.floor("c_acctbal").cast("string").alias("views"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("TRUE")).otherwise(F.lit("False")).alias("partner"),
+        F.col("c_custkey").cast("string").alias("new_id"))
+
+
+_USERS_SCAN_SQL = """select c_custkey new_id, c_custkey ids, c_nationkey as "days", c_acctbal < 0 mature,
+    cast(floor(c_acctbal) as integer) views, c_mktsegment = 'BUILDING' partner from customer"""
+
+
+@query("users_scan", _USERS_SCAN_SQL)
+def q_users_scan(spark, sf):
+    """A2 + B1/B3: CSV written from customer, read back with the strict rules."""
+    t = Tables(spark, sf)
+    p = scratch_path(spark, "users-csv")
+    _users_csv_text(t).write.option("header", True).csv(p)
+    return FS.read_users_csv(spark, p)
+
+
+@query("users_scan_lenient", _USERS_SCAN_SQL)
+def q_users_scan_lenient(spark, sf):
+    """A2 + B2/B4: the graph loader's lenient parse of the same CSV."""
+    t = Tables(spark, sf)
+    p = scratch_path(spark, "users-csv")
+    _users_csv_text(t).write.option("header", True).csv(p)
+    return FS.read_users_csv(spark, p, lenient=True)
+
+
+@query("edges_scan", sql(["follows"], "select src, dst from follows"))
+def q_edges_scan(spark, sf):
+    """A3: follow edges written as header CSV ``from,to`` and read back."""
+    t = Tables(spark, sf)
+    p = scratch_path(spark, "edges-csv")
+    t.follows().select(F.col("src").cast("string").alias("from"), F.col("dst").cast("string").alias("to")) \
+        .write.option("header", True).csv(p)
+    return FS.read_edges_csv(spark, p)
+
+
+@query("features_scan", sql(["user_games"], "select new_id, game from user_games"))
+def q_features_scan(spark, sf):
+    """A1 (splittable JSON-lines form): feature lists written as JSON, read back long."""
+    t = Tables(spark, sf)
+    p = scratch_path(spark, "features-json")
+    t.user_features().write.json(p)
+    return FS.read_feature_lines(spark, p)
+
+
+@query("json_roundtrip", sql(["user_games"], """select new_id, to_json(list_sort(list(game))) features_json,
+    len(list(game)) n_features from user_games group by new_id"""))
+def q_json_roundtrip(spark, sf):
+    """B6 + B7: lists encoded as JSON text and decoded again (NULL / bad -> [])."""
+    j = FS.features_to_json(Tables(spark, sf).user_features())
+    return j.select("new_id", "features_json",
+                    F.size(parse_int_list(F.col("features_json"))).cast("bigint").alias("n_features"))
+
+
+@query("pk_violations", sql(["follows"], "select src, dst, count(*) n from follows group by src, dst having count(*) > 1"))
+def q_pk_violations(spark, sf):
+    """Keys of the follow list that occur more than once."""
+    return WR.pk_violations(Tables(spark, sf).follows(), ["src", "dst"])
+
+
+@query("insert_first_wins", sql(["users"], """select new_id, views from users where partner
+    union all select new_id, views from users where not partner"""))
+def q_insert_first_wins(spark, sf):
+    """The BUILDING users are already stored; every user row arrives twice
+    (original, then with views + 1): the stored row and the first copy win."""
+    t = Tables(spark, sf)
+    u = t.users().select("new_id", "views", "partner")
+    target = u.where("partner").select("new_id", "views")
+    new = (u.select("new_id", "views", F.lit(0).alias("_ord"))
+           .unionByName(u.select("new_id", (F.col("views") + 1).alias("views"), F.lit(1).alias("_ord"))))
+    return W.insert_first_wins(target, new, ["new_id"], "_ord")
+
+
+@query("upsert_last_wins", sql(["users", "follows"], """select coalesce(n.new_id, u.new_id) new_id,
+    u.views + 1 views, u."days" as "days" from (select distinct new_id from
+      (select src new_id from follows union all select dst from follows)) n
+    full outer join users u on u.new_id = n.new_id"""))
+def q_upsert_last_wins(spark, sf):
+    """Nodes created from edge endpoints (no properties) are MERGEd with
+    the user rows; each user arrives twice and the last copy (views + 1) wins."""
+    t = Tables(spark, sf)
+    ends = WR.nodes_from_edges(t.follows(), t.users().limit(0).select("new_id"))
+    target = ends.select("new_id", F.lit(None).cast("double").alias("views"), F.lit(None).cast("bigint").alias("days"))
+    u = t.users().select("new_id", "views", "days")
+    new = (u.withColumn("_ord", F.lit(0))
+           .unionByName(u.withColumn("views", F.col("views") + 1).withColumn("_ord", F.lit(1))))
+    return W.upsert_last_wins(target, new, ["new_id"], "_ord", ["views", "days"])

@@ -93,15 +93,20 @@ def times_small(Y: DataFrame, W: np.ndarray) -> DataFrame:
     return Y.select("id", mul(F.col("vec")).alias("vec"))
 
 
-def orthonormalise(Y: DataFrame, tol: float = 1e-10) -> DataFrame:
+def orthonormalise(Y: DataFrame, name: str, tol: float = 1e-10) -> DataFrame:
     """Q with orthonormal columns spanning Y (eigen form of Cholesky-QR,
-    robust to rank deficiency: null directions are dropped)."""
+    robust to rank deficiency: null directions are dropped), written to the
+    shared checkpoint folder.  Y is computed once (cached between the Gram
+    pass and the rotation)."""
+    Y = Y.cache()
     r = len(Y.select("vec").first()[0])
     G = gram(Y, r)
     w, V = np.linalg.eigh(G)
     keep = w > tol * max(w.max(), 1e-300)
     W = V[:, keep] / np.sqrt(w[keep])
-    return times_small(Y, W)
+    Q = materialize(times_small(Y, W), name)
+    Y.unpersist()
+    return Q
 
 
 def randomized_svd(A: DataFrame, k: int, oversample: int = 10, power_iters: int = 4,
@@ -118,11 +123,13 @@ def randomized_svd(A: DataFrame, k: int, oversample: int = 10, power_iters: int
     omega = rows.select("id", F.transform(F.sequence(F.lit(0), F.lit(r - 1)), lambda c: F.when(
         F.pmod(F.xxhash64(F.col("id"), c, F.lit(seed)), F.lit(2)) == 0, F.lit(1.0)).otherwise(F.lit(-1.0)))
         .alias("vec"))
-    Q = materialize(orthonormalise(a_times(A, omega)), "svd-q")
+    A = A.cache()
+    Q = orthonormalise(a_times(A, omega), "svd-q")
     for _ in range(power_iters):
-        Zt = materialize(orthonormalise(at_times(A, Q)), "svd-z")
-        Q = materialize(orthonormalise(a_times(A, Zt)), "svd-q")
+        Zt = orthonormalise(at_times(A, Q), "svd-z")
+        Q = orthonormalise(a_times(A, Zt), "svd-q")
     Bt = materialize(at_times(A, Q), "svd-bt")              # Bᵀ = Aᵀ Q, rows j
+    A.unpersist()
     rq = len(Bt.select("vec").first()[0])
     M = gram(Bt, rq)                                        # B Bᵀ (rq x rq)
     w, Ub = np.linalg.eigh(M)

@@ -73,6 +73,11 @@ def truncate_and_load(rows: DataFrame, key: list[str], order: list[Column]) -> D
     return _dedup(rows, key, order)
 
 
+def append_rows(df: DataFrame, path: str) -> None:
+    """A10: CREATE of an edge -- plain append, duplicates kept."""
+    df.write.mode("append").parquet(path)
+
+
 def pk_violations(df: DataFrame, key: list[str]) -> DataFrame:
     """Keys that occur more than once (must be empty for a primary key)."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -986,3 +986,23 @@ def q_upsert_last_wins(spark, sf):
     new = (u.withColumn("_ord", F.lit(0))
            .unionByName(u.withColumn("views", F.col("views") + 1).withColumn("_ord", F.lit(1))))
     return W.upsert_last_wins(target, new, ["new_id"], "_ord", ["views", "days"])
+
+
+# --------------------------------------------------------- similarity job (M3)
+from linkrec.plans.similarity_job import run_similarity  # noqa: E402
+
+
+@query("similarity_eval")
+def q_similarity_eval(spark, sf):
+    """M3 / K5: hybrid (content + SVD, alpha 0) recommendations evaluated on
+    200 sampled test users at k = 10."""
+    t = Tables(spark, sf)
+    run = run_similarity(spark, t.users(), t.user_games(), t.follows())
+    return run.metrics
+
+
+@query("similarity_recs_saved")
+def q_similarity_recs_saved(spark, sf):
+    """The saved hybrid recommendation table for every user."""
+    t = Tables(spark, sf)
+    return run_similarity(spark, t.users(), t.user_games(), t.follows()).recommendations

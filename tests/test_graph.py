@@ -109,3 +109,12 @@ def test_louvain_beats_single_community(spark):
     assert q > one
     c = _map(lv, "id", "community")
     assert len(set(c.values())) == 2
+
+
+def test_pagerank_salted_sources_same(g):
+    v, e, d, und = g
+    a = _map(PR.pagerank_unnormalised(v, d), "id", "pagerank")
+    b = _map(PR.pagerank_unnormalised(v, d, hot=1), "id", "pagerank")   # every source salted
+    assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
+    c = _map(PR.pagerank_normalised(v, d, hot=1), "id", "pagerank")
+    assert abs(sum(c.values()) - 1.0) < 1e-6

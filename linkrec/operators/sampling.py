@@ -95,16 +95,24 @@ def sample_users(users: DataFrame, col: str, n: int = 200, seed: int = SEED) ->
     return users.select(col).distinct().orderBy(hash_order(F.col(col), seed), col).limit(n)
 
 
-def candidates(users: DataFrame, pool: int = 200, seed: int = SEED, draws_per_slot: int = 4) -> DataFrame:
+def draw_budget(n_users: int, pool: int) -> int:
+    """Draws per user for I6: enough for ``pool`` distinct positions out of
+    ``n_users`` with a wide margin (expected repeats ~ pool**2 / 2n), capped
+    at 4 * pool for small user sets."""
+    return int(min(4 * pool, pool + -(-8 * pool * pool // max(n_users, 1)) + 32))
+
+
+def candidates(users: DataFrame, pool: int = 200, seed: int = SEED) -> DataFrame:
     """Per user, ``pool`` distinct users drawn uniformly (may include the
     user itself; the caller filters).  Draw j of user u picks position
     md5(u|j|seed) mod N; the first ``pool`` distinct positions in draw order
-    are kept (all users when N <= pool)."""
+    are kept, out of ``draw_budget(N, pool)`` draws."""
     idx = dense_index(users.select("new_id"), "new_id", "pos")
-    total = idx.agg(F.count(F.lit(1))).scalar()
+    total = idx.count()
+    draws = draw_budget(total, pool)
     d = users.select(F.col("new_id").alias("user_id"),
-                     F.explode(F.sequence(F.lit(0), F.lit(draws_per_slot * pool - 1))).alias("j"))
-    d = d.withColumn("pos", F.pmod(hash_order(F.col("user_id"), F.col("j"), seed), total))
+                     F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("j"))
+    d = d.withColumn("pos", F.pmod(hash_order(F.col("user_id"), F.col("j"), seed), F.lit(total)))
     first = d.groupBy("user_id", "pos").agg(F.min("j").alias("j"))
     ranked = first.withColumn("_r", F.row_number().over(Window.partitionBy("user_id").orderBy("j")))
     picked = ranked.where(F.col("_r") <= pool)

@@ -127,7 +127,9 @@ CTES.update({
         (select user_id, pos, j, row_number() over (partition by user_id order by j) rk from
           (select user_id, pos, min(j) j from
             (select new_id user_id, j, {h("new_id || '|' || j || '|42'")} % (select c from nusers) pos
-             from users, range(0, 800) t(j)) group by user_id, pos))
+             from users, range(0, 800) t(j)
+             where j < least(800, 200 + ceil(8 * 200 * 200 / (select c from nusers)) + 32))
+           group by user_id, pos))
         join uidx using (pos) where rk <= 200"""),
     # pair features over the feature-matrix users' graph
     "fkedges": (("follows", "fusers"), """select distinct src, dst from follows

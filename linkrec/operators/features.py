@@ -72,7 +72,8 @@ def positional(user_features: DataFrame) -> DataFrame:
     maxlen = user_features.agg(F.max(F.size("features"))).scalar()
     pos = user_features.select("new_id", "features",
                                F.explode(F.sequence(F.lit(0), maxlen - 1)).alias("pos"))
-    return pos.select("new_id", "pos", F.coalesce(F.try_element_at("features", F.col("pos") + 1),
+    return pos.select("new_id", F.col("pos").cast("bigint").alias("pos"),
+                      F.coalesce(F.try_element_at("features", F.col("pos") + 1),
                                                  F.lit(0)).cast("bigint").alias("value"))
 
 

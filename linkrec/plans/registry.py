@@ -123,7 +123,7 @@ _SPOT = ", ".join(str(u) for u in daily.SPOT_CHECK_USERS)
 
 
 @query("spot_check", sql(["strong"], """select s.user_id, r.recommended_user,
-    round(r.score, 6) score, r.rk as rank from sample s left join r
+    round(r.score, 6) score, cast(r.rk as integer) as rank from sample s left join r
     on s.user_id = r.user_id and r.rk <= 5""", extra={
     "sample": f"select cast(unnest([{_SPOT}]) as bigint) user_id",
     "r": """select user_a user_id, user_b recommended_user, jaccard_score score,
@@ -207,7 +207,7 @@ def q_degrees(spark, sf):
 
 
 @query("undirected_degree", sql(["vtx", "nbr"], """select id, coalesce(n_nbrs, 0) n_nbrs,
-    coalesce(degree, 0) degree from vtx left join nbr using (id)"""))
+    cast(coalesce(degree, 0) as bigint) degree from vtx left join nbr using (id)"""))
 def q_undirected_degree(spark, sf):
     t = Tables(spark, sf)
     v = _vertices(t)
@@ -241,7 +241,7 @@ def q_node_similarity(spark, sf):
 
 
 @query("node_similarity_recs", sql(["nsim_top", "gedges"], """select node1 user_id, node2 recommended_user,
-    round(similarity, 6) similarity, r as rank from (select *, row_number() over
+    round(similarity, 6) similarity, cast(r as integer) as rank from (select *, row_number() over
     (partition by node1 order by similarity desc, node2) r from nsim_top n
     where not exists (select 1 from gedges g where g.src = n.node1 and g.dst = n.node2)) where r <= 10"""))
 def q_node_similarity_recs(spark, sf):
@@ -360,7 +360,7 @@ def q_stratified_split(spark, sf):
 
 @query("candidates", sql(["cands"], "select user_id, candidate, j from cands"))
 def q_candidates(spark, sf):
-    return SM.candidates(Tables(spark, sf).users())
+    return SM.candidates(Tables(spark, sf).users()).withColumn("j", F.col("j").cast("bigint"))
 
 
 @query("exclude_followed", sql(["cands", "follows"], """select user_id, candidate from cands c
@@ -633,7 +633,7 @@ def _train_edges(t: Tables) -> DataFrame:
     return SM.edge_split(t.follows()).where(~F.col("is_test")).select("src", "dst")
 
 
-@query("content_topk", sql(["fcos"], """select u user_id, v recommended_user, round(c, 6) score, rk as rank from
+@query("content_topk", sql(["fcos"], """select u user_id, v recommended_user, round(c, 6) score, cast(rk as integer) as rank from
     (select u, v, c, row_number() over (partition by u order by c desc, v) rk from fcos where u <> v)
     where rk <= 10"""))
 def q_content_topk(spark, sf):
@@ -642,7 +642,7 @@ def q_content_topk(spark, sf):
     return r.select("user_id", "recommended_user", rnd(F.col("score")).alias("score"), "rank")
 
 
-@query("content_recs", sql(["fcos", "trn"], """select u user_id, v recommended_user, round(c, 6) score, rk as rank from
+@query("content_recs", sql(["fcos", "trn"], """select u user_id, v recommended_user, round(c, 6) score, cast(rk as integer) as rank from
     (select u, v, c, row_number() over (partition by u order by c desc, v) rk from fcos f
      where u <> v and not exists (select 1 from trn t where t.src = f.u and t.dst = f.v))
     where rk <= 10"""))
@@ -660,7 +660,7 @@ def _stand_in(t: Tables):
 
 
 @query("hybrid_scores", sql(["allp", "umm", "trn"], """select u user_id, v recommended_user, round(score, 6) score,
-    rk as rank from h where rk <= 10""", extra={"h": hybrid_sql("[0.5]")}))
+    cast(rk as integer) as rank from h where rk <= 10""", extra={"h": hybrid_sql("[0.5]")}))
 def q_hybrid_scores(spark, sf):
     """H11 with the multi-hot cosine and the untruncated A Aᵀ (common follows)
     as the two scores, alpha = 0.5, train follows excluded."""
@@ -670,7 +670,7 @@ def q_hybrid_scores(spark, sf):
     return r.select("user_id", "recommended_user", rnd(F.col("score")).alias("score"), "rank")
 
 
-@query("recs_save", sql(["allp", "umm", "trn"], """select u user_id, v recommended_user, rk as rank
+@query("recs_save", sql(["allp", "umm", "trn"], """select u user_id, v recommended_user, cast(rk as integer) as rank
     from h where rk <= 10""", extra={"h": hybrid_sql("[0.0]")}))
 def q_recs_save(spark, sf):
     """H13 + A14: recommendations for every user (alpha 0), saved one row per
@@ -866,7 +866,7 @@ def q_ml_recs(spark, sf):
     return _lp(spark, sf).recommendations()
 
 
-@query("sage_mean_agg", sql(["base", "fkedges"], """select id, pos, round(value, 6) value from (
+@query("sage_mean_agg", sql(["base", "fkedges"], """select id, cast(pos as bigint) pos, round(value, 6) value from (
     select new_id id, 0 pos, views value from base union all select new_id, 1, days from base
     union all select new_id, 2, partner from base union all select new_id, 3, mature from base
     union all select b.new_id, 4, coalesce(m.v0, 0) from base b left join m on m.dst = b.new_id
@@ -944,7 +944,7 @@ def q_features_scan(spark, sf):
     return FS.read_feature_lines(spark, p)
 
 
-@query("json_roundtrip", sql(["user_games"], """select new_id, to_json(list_sort(list(game))) features_json,
+@query("json_roundtrip", sql(["user_games"], """select new_id, cast(to_json(list_sort(list(game))) as varchar) features_json,
     len(list(game)) n_features from user_games group by new_id"""))
 def q_json_roundtrip(spark, sf):
     """B6 + B7: lists encoded as JSON text and decoded again (NULL / bad -> [])."""

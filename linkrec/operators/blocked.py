@@ -34,11 +34,21 @@ def n_blocks(n_rows: int, block_size: int) -> int:
     return max(1, -(-n_rows // block_size))
 
 
+_NO_IDX = np.zeros(0, dtype=np.int64)
+_NO_VAL = np.zeros(0, dtype=np.float64)
+
+
 def _dense(idx_series, val_series, dim: int) -> np.ndarray:
-    m = np.zeros((len(idx_series), dim))
-    for r, (ix, vx) in enumerate(zip(idx_series, val_series)):
-        if ix is not None and len(ix):
-            m[r, np.asarray(ix, dtype=np.int64)] = np.asarray(vx, dtype=np.float64)
+    """Sparse rows (index array, value array) -> dense block, one vectorized scatter."""
+    n = len(idx_series)
+    m = np.zeros((n, dim))
+    if n == 0:
+        return m
+    idx = [_NO_IDX if x is None else x for x in idx_series]
+    val = [_NO_VAL if x is None else x for x in val_series]
+    lens = np.fromiter(map(len, idx), dtype=np.int64, count=n)
+    if lens.sum():
+        m[np.repeat(np.arange(n), lens), np.concatenate(idx).astype(np.int64)] = np.concatenate(val)
     return m
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linkrec.llm import sql
 from linkrec.llm.common import table
+from linkrec.llm.odd_sketch import near_duplicates
 from linkrec.llm.sharding import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,8 @@ def query(name: str, oracle: str | None = None):
 @query("op1_sharding", sql.SHARDING)
 def q_sharding(spark, sf):
     return shard_documents(table(spark, sf, "documents"))
+
+
+@query("op2_minhash_near_dedup")
+def q_minhash_near_dedup(spark, sf):
+    return near_duplicates(table(spark, sf, "documents"), threshold=0.85, w=3)

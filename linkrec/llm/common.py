@@ -63,8 +63,9 @@ def null_safe(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
 
 
 def rank_by_hash(df: DataFrame, groups: list[str], h: str, ties: list[str], out: str,
-                 per_task: int = 50_000) -> DataFrame:
-    """Gapless rank from 0 inside each group in the order (h, ties).
+                 per_task: int = 50_000, equal: bool = False) -> DataFrame:
+    """Gapless rank from 0 inside each group in the order (h, ties); equal: rows
+    that agree in (h, ties) all get the lowest of their ranks.
 
     A group is cut into ranges of the evenly spread 52-bit key `h`, one for
     every `per_task` of its rows; rows are ranked inside a range and the counts
@@ -81,6 +82,6 @@ def rank_by_hash(df: DataFrame, groups: list[str], h: str, ties: list[str], out:
     before = W.partitionBy(*groups).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(*groups, "_b", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"))
     inside = W.partitionBy(*groups, "_b").orderBy(h, *ties)
-    return (cut.withColumn("_r", F.row_number().over(inside) - 1)
+    return (cut.withColumn("_r", (F.rank() if equal else F.row_number()).over(inside) - 1)
             .join(offsets, [*groups, "_b"])
             .withColumn(out, (F.col("_r") + F.col("_o")).cast("bigint")).drop("_b", "_r", "_o"))

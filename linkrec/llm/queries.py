@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linkrec.llm import sql
 from linkrec.llm.common import table
+from linkrec.llm.decontam import contaminated
+from linkrec.llm.licenses import scan_licenses
+from linkrec.llm.line_dedup import line_report
+from linkrec.llm.mixing import mixed_documents
 from linkrec.llm.odd_sketch import near_duplicates
 from linkrec.llm.sharding import shard_documents
+from linkrec.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +37,28 @@ def q_sharding(spark, sf):
 @query("op2_minhash_near_dedup")
 def q_minhash_near_dedup(spark, sf):
     return near_duplicates(table(spark, sf, "documents"), threshold=0.85, w=3)
+
+
+@query("op3_mixing")
+def q_mixing(spark, sf):
+    return mixed_documents(table(spark, sf, "documents"))
+
+
+@query("op8_toxicity")
+def q_toxicity(spark, sf):
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op9_decontamination")
+def q_decontamination(spark, sf):
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("row")
+
+
+@query("op4_line_dedup", sql.LINES)
+def q_line_dedup(spark, sf):
+    return line_report(table(spark, sf, "documents"))
+
+
+@query("op10_license_scan", sql.LICENSES)
+def q_license_scan(spark, sf):
+    return scan_licenses(table(spark, sf, "documents"))

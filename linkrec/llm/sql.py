@@ -1,5 +1,7 @@
 """DuckDB SQL of the llm queries that SQL can state."""
 
+from linkrec.llm.licenses import TEMPLATES, THRESHOLD
+
 #: CRC-32 over the UTF-8 bytes: the byte table from its polynomial, then one fold per text.
 CRC = """
 crc_table as (select list(c order by i) t from (
@@ -28,3 +30,33 @@ select doc_id, strlen(coalesce(text, '')) + 1 as size, text_crc32, 'key' as law,
   grown_shard::INT grown_shard
 from best
 """
+
+LINES = """
+with docs as (select doc_id, string_split(coalesce(text, ''), chr(10)) ls from documents),
+lines as (select doc_id, unnest(ls) line, generate_subscripts(ls, 1) pos from docs),
+keys as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') k from lines),
+owners as (select k, min(doc_id) o from keys where length(k) >= 10 group by k),
+marked as (select doc_id, line, pos, coalesce(doc_id > o, false) gone from keys left join owners using (k))
+select doc_id, count(*) n_lines, count(*) filter (gone) n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) kept_sha256
+from marked group by doc_id
+"""
+
+_ROWS = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(TEMPLATES.items()))
+LICENSES = f"""
+with units as (
+  select doc_id, unnest(list_concat(string_split(text, chr(10)),
+    list_filter(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'), lambda p: contains(trim(p, ' '), chr(10))))) u
+  from documents where text is not null),
+cut as (select doc_id, list_filter(regexp_split_to_array(lower(u), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') w from units),
+unit as (select doc_id, array_to_string(w, ' ') t, any_value(list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))])) b,
+    count(*) c from cut where len(w) > 1 group by doc_id, t),
+raw(license, template) as (values {_ROWS}),
+tw as (select license, list_filter(regexp_split_to_array(lower(template), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') w from raw),
+tb as (select license, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) b from tw),
+pairs as (select doc_id, c, license, 2.0::DOUBLE * len(list_intersect(unit.b, tb.b)) / (len(unit.b) + len(tb.b)) dice
+  from unit, tb where len(unit.b) between len(tb.b) / 2 and len(tb.b) * 2)
+select doc_id, license, sum(c)::BIGINT n_units, round(max(dice), 6) dice from pairs
+where dice >= {THRESHOLD} - 1e-9 group by doc_id, license
+"""

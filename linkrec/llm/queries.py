@@ -13,7 +13,10 @@ from linkrec.llm.licenses import scan_licenses
 from linkrec.llm.line_dedup import line_report
 from linkrec.llm.mixing import mixed_documents
 from linkrec.llm.odd_sketch import near_duplicates
+from linkrec.llm.pii import personal_data
+from linkrec.llm.pq_dedup import near_vectors
 from linkrec.llm.sharding import shard_documents
+from linkrec.llm.token_counts import token_counts
 from linkrec.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +65,18 @@ def q_line_dedup(spark, sf):
 @query("op10_license_scan", sql.LICENSES)
 def q_license_scan(spark, sf):
     return scan_licenses(table(spark, sf, "documents"))
+
+
+@query("op5_pq_near_dedup")
+def q_pq_near_dedup(spark, sf):
+    return near_vectors(table(spark, sf, "embeddings"))
+
+
+@query("op6_pii")
+def q_pii(spark, sf):
+    return personal_data(table(spark, sf, "documents"))
+
+
+@query("op7_token_counts")
+def q_token_counts(spark, sf):
+    return token_counts(table(spark, sf, "documents"))

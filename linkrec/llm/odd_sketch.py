@@ -8,9 +8,11 @@
    bucket's other members: linear in the members, whatever the bucket's size.
 4. A pair stays if its set sizes allow the threshold and the population count
    of its sketches' XOR is possible for it; then its full sets are compared.
-5. Round 2 takes the buckets that still span several components and pairs the
-   members outside the bucket's largest component with all members of other
-   components; the same filters and the exact test follow.
+5. Round 2 takes the buckets that still span several components and joins the
+   members outside the bucket's largest component with those of its other
+   components.  The join's condition holds the sizes and the odd sketch of the
+   whole sets, whose XOR count is never above the sets' difference, so only
+   pairs that are linked, or nearly so, leave the join; step 4 follows.
 
 After round 2 every two members of a bucket are in one component or were
 compared, so nothing depends on caps and no group is expanded into its pairs.
@@ -41,6 +43,7 @@ from linkrec.llm.components import connected_components
 from linkrec.session import materialize
 
 BANDS, ROWS, BITS = 26, 5, 1024
+WORDS = [f"p{i}" for i in range(BITS // 64)]
 _MUL = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -78,10 +81,12 @@ def min_samples(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def odd_sketch(samples: np.ndarray, bits: int) -> np.ndarray:
-    """(documents, k) samples -> (documents, bits / 64) words of parities."""
+def odd_sketch(samples: np.ndarray, bits: int, salted: bool = True) -> np.ndarray:
+    """(documents, k) samples -> (documents, bits / 64) words of parities.
+    salted: a value counts as another one in each of the k places."""
     n, k = samples.shape
-    at = _mix(samples + _MUL[2] * np.arange(1, k + 1, dtype=np.uint64)) % np.uint64(bits)
+    at = _mix(samples + _MUL[2] * np.arange(1, k + 1, dtype=np.uint64)) if salted else _mix(samples)
+    at = at % np.uint64(bits)
     at = at.astype(np.int64) + bits * np.arange(n)[:, None]
     odd = (np.bincount(at.ravel(), minlength=n * bits) & 1).astype(np.uint8).reshape(n, bits)
     return np.packbits(odd, axis=1).view(np.int64)
@@ -113,12 +118,13 @@ def _signatures(w: int, bands: int, rows: int, bits: int):
             sets = [shingle_set(t, w) for t in pdf["text"]]
             full = [i for i, s in enumerate(sets) if len(s)]
             out = pd.DataFrame({"doc_id": pdf["doc_id"], "n_shingles": [len(s) for s in sets]})
-            fp, keys, odd = ([None] * len(sets) for _ in range(3))
+            fp, keys, odd, parity = ([None] * len(sets) for _ in range(4))
             if full:
                 m = np.stack([min_samples(sets[i], a, b) for i in full])
                 for i, kk, oo in zip(full, band_keys(m, bands, rows), odd_sketch(m, bits)):
                     fp[i], keys[i], odd[i] = hashlib.md5(sets[i].tobytes()).digest(), kk, oo
-            yield out.assign(fp=fp, bands=keys, odd=odd)
+                    parity[i] = odd_sketch(sets[i][None, :], bits, salted=False)[0]
+            yield out.assign(fp=fp, bands=keys, odd=odd, parity=parity)
     return run
 
 
@@ -130,19 +136,19 @@ def _sets(w: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, w: int = 5, bands: int = BANDS, rows: int = ROWS,
-                    bits: int = BITS) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, w: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of `docs` (doc_id, text, ...)."""
     spark = docs.sparkSession
     small_batches(spark)
     percent = round(threshold * 100)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sig = materialize(texts.mapInPandas(
-        _signatures(w, bands, rows, bits),
-        "doc_id long, n_shingles long, fp binary, bands array<long>, odd array<long>"), "signatures")
+        _signatures(w, bands, rows, BITS),
+        "doc_id long, n_shingles long, fp binary, bands array<long>, odd array<long>, parity array<long>"), "signatures")
     known = sig.where("fp is not null and doc_id is not null")
     nodes = materialize(known.groupBy("fp").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
-                                                F.first("bands").alias("bands"), F.first("odd").alias("odd")),
+                                                F.first("bands").alias("bands"), F.first("odd").alias("odd"),
+                                                F.first("parity").alias("parity")),
                         "nodes")
     member = materialize(_buckets(nodes), "members")
     sketches = nodes.select("node", "odd")
@@ -159,17 +165,21 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, w: int = 5, bands:
     placed = member.join(comp, "node", "left").select(
         "bucket", "leader", "node", "n", F.coalesce("component", "node").alias("component"))
     by_bucket = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_ = materialize(placed.join(by_bucket.where("lo <> hi").select("bucket"), "bucket", "left_semi"), "open")
+    open_ = materialize(placed.join(by_bucket.where("lo <> hi").select("bucket"), "bucket", "left_semi")
+                        .join(nodes.select("node", *_words("parity")), "node"), "open")
     main = (open_.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("bucket").agg(F.max_by("component", F.struct("c", "component")).alias("main")))
-    left = (open_.join(main, "bucket").where("component <> main and node <> leader")
-            .select("bucket", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("component").alias("a_c"),
-                    "main"))
-    right = open_.where("node <> leader").select(
-        "bucket", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_c"))
-    second = left.join(right, "bucket").where("a_c <> b_c and (b_c = main or a < b)").where(
-        f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)").select("a", "a_n", "b", "b_n")
-    more = _confirm(_sized(second, percent), sketches, texts, bound, w, percent)
+    open_ = open_.where("node <> leader")
+    left = open_.join(main, "bucket").where("component <> main").select(
+        "bucket", "main", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "component", *WORDS)])
+    right = open_.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "component", *WORDS)])
+    second = left.join(right, (left["bucket"] == right["bucket"]) & F.expr(
+        "a_component <> b_component and (b_component = main or a_node < b_node)"
+        f" and 100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)"
+        # (1 - t) / (1 + t) of both sizes: the most that two linked sets differ in
+        f" and (100 + {percent}) * ({_odd_count()}) <= (100 - {percent}) * (a_n + b_n)"))
+    pairs = second.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+    more = _confirm(pairs, sketches, texts, bound, w, percent)
     comp = connected_components(edges.union(more).union(same))
 
     of_set = nodes.select("fp", F.col("node").alias("_node")).join(
@@ -181,6 +191,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, w: int = 5, bands:
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def _words(name: str) -> list:
+    return [F.get(name, i).alias(c) for i, c in enumerate(WORDS)]
+
+
+def _odd_count() -> str:
+    return " + ".join(f"bit_count(a_{c} ^ b_{c})" for c in WORDS)
+
+
 def _buckets(nodes: DataFrame) -> DataFrame:
     """Members of the band buckets that hold at least two nodes, with each bucket's leader."""
     rows = nodes.select("node", "n", F.explode("bands").alias("bucket"))
@@ -202,12 +220,20 @@ def _confirm(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, bound: int
     differ = F.aggregate(F.zip_with("a_odd", "b_odd", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                          F.lit(0), lambda s, x: s + x)
     near = materialize(near.where(differ <= bound).select("a", "b"), "candidates")
-    ids = near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct()
-    sets = materialize(texts.join(ids, "doc_id", "left_semi").mapInPandas(
+    ids = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
+    return _compare(near, _full_sets(texts, ids, w), percent)
+
+
+def _full_sets(texts: DataFrame, ids: DataFrame, w: int) -> DataFrame:
+    """(node, shingles) of the documents in `ids`; the ids are hashed and the texts stream past them, unsorted."""
+    wanted = ids.withColumnRenamed("node", "doc_id").hint("shuffle_hash")
+    return materialize(texts.join(wanted, "doc_id", "left_semi").mapInPandas(
         _sets(w), "node long, shingles array<long>"), "sets")
-    both = (near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+
+
+def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"))
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return materialize(both.withColumn("_i", shared)
+    return materialize(both.withColumn("_i", F.size(F.array_intersect("sa", "sb")))
                        .where(100 * F.col("_i") >= percent * (F.size("sa") + F.size("sb") - F.col("_i")))
                        .select("a", "b"), "links")

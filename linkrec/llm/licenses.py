@@ -61,7 +61,8 @@ def words(text: Column) -> Column:
 
 def bigrams(w: Column) -> Column:
     """Distinct pairs of neighbouring words."""
-    return F.array_distinct(F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1),
+    n = F.greatest(F.size(w) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n),
                                        lambda a, b: F.concat_ws(" ", a, b)))
 
 

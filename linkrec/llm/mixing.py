@@ -142,9 +142,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 def take(docs: DataFrame) -> DataFrame:
     """The mix itself: every row of `docs` as often as it has copies, with the columns of `docs`."""
-    counts = (mix(docs).where("copies > 0").select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), "copies")
-              .distinct())
+    counts = (mix(docs).where("copies > 0").select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"),
+                                                  F.col("copies").alias("_copies")).distinct())
     return (docs.withColumn("_row", row_key())
             .join(counts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_row") == F.col("_r")))
-            .select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("_k"))
+            .select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("_k"))
             .drop("_k"))

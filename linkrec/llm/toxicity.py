@@ -76,17 +76,18 @@ class Trie:
         return None
 
 
-_STRIP = re.compile(r"^[\W_]+|[\W_]+$")
+_STRIP, _TAIL = re.compile(r"^[\W_]+|[\W_]+$"), re.compile(r"[\W_]+$")
 
 
 def plain(token: str) -> str:
     """Lower-case core of a token, with digits and signs between letters read as letters."""
     core = _STRIP.sub("", token.lower())
-    if core.isalpha():
+    if core.isalpha() and token[:1] not in "$@":
         return core
-    spelled = _STRIP.sub("", token.lower().translate(DISGUISE))
-    letters = "".join(c for c in spelled if c.isalpha())
-    return letters if sum(c.isalpha() for c in core) * 2 >= len(core) else core
+    if sum(c.isalpha() for c in core) < 2:
+        return core
+    spelled = _STRIP.sub("", _TAIL.sub("", token.lower()).translate(DISGUISE))
+    return "".join(c for c in spelled if c.isalpha())
 
 
 def features(text: str | None, trie: Trie, cache: dict) -> np.ndarray:

@@ -1,7 +1,6 @@
 """Truncated SVD of the follow matrix (H7-H10), distributed.
 
-Randomized range finder with power iterations (Halko, Martinsson & Tropp,
-2011), written on DataFrames:
+Randomized block Krylov iteration, written on DataFrames:
 
 * A is the long table ``(i, j, a)`` of the follow matrix (duplicates summed,
   as a sparse-matrix build sums them); dense n x r blocks are one array of r
@@ -93,30 +92,67 @@ def times_small(Y: DataFrame, W: np.ndarray) -> DataFrame:
     return Y.select("id", mul(F.col("vec")).alias("vec"))
 
 
-def orthonormalise(Y: DataFrame, name: str, tol: float = 1e-10) -> DataFrame:
-    """Q with orthonormal columns spanning Y (eigen form of Cholesky-QR,
-    robust to rank deficiency: null directions are dropped), written to the
-    shared checkpoint folder.  Y is computed once (cached between the Gram
-    pass and the rotation)."""
-    Y = Y.cache()
-    r = len(Y.select("vec").first()[0])
-    G = gram(Y, r)
-    w, V = np.linalg.eigh(G)
-    keep = w > tol * max(w.max(), 1e-300)
-    W = V[:, keep] / np.sqrt(w[keep])
-    Q = materialize(times_small(Y, W), name)
-    Y.unpersist()
-    return Q
-
-
-def randomized_svd(A: DataFrame, k: int, oversample: int = 10, power_iters: int = 4,
+def orthonormalise(Y: DataFrame, name: str, floor: float = 0.0, tol: float = 1e-10) -> DataFrame | None:
+    """Q with orthonormal columns spanning Y (eigen form of Cholesky-QR, twice,
+    robust to rank deficiency: directions of a squared length up to ``floor`` or
+    ``tol`` of the largest are dropped), written to the shared checkpoint
+    folder.  None if nothing is left."""
+    for _ in range(2):
+        w, V = np.linalg.eigh(gram(Y, _width(Y)))
+        keep = w > max(tol * max(w.max(), 1e-300), floor)
+        if not keep.any():
+            return None
+        Y, floor = materialize(times_small(Y, V[:, keep] / np.sqrt(w[keep])), name), 0.0
+    return Y
+
+
+def _width(Y: DataFrame) -> int:
+    return len(Y.select("vec").first()[0])
+
+
+def _beside(K: DataFrame, Y: DataFrame) -> DataFrame:
+    """Rows ``(id, k, vec)`` of two dense blocks over the same ids."""
+    return K.select("id", F.col("vec").alias("k")).join(Y, "id")
+
+
+def _outside(K: DataFrame, Y: DataFrame, name: str) -> DataFrame:
+    """Y minus its projection on the orthonormal columns of K, taken twice."""
+    k, r = _width(K), _width(Y)
+    for _ in range(2):
+        both = _beside(K, Y)
+
+        def part(it):
+            acc = np.zeros((k, r))
+            for pdf in it:
+                if len(pdf):
+                    acc += np.stack(pdf["k"].to_numpy()).T @ np.stack(pdf["vec"].to_numpy())
+            yield pd.DataFrame({"p": np.arange(k * r), "g": acc.reshape(-1)})
+        C = np.zeros(k * r)
+        for row in (both.select("k", "vec").mapInPandas(part, "p long, g double")
+                    .groupBy("p").agg(F.sum("g").alias("g")).collect()):   # k*r values: bounded by the rank
+            C[row.p] = row.g
+        C = C.reshape(k, r)
+
+        @F.pandas_udf(ARR)
+        def rest(kv: pd.Series, yv: pd.Series) -> pd.Series:
+            if len(kv) == 0:
+                return pd.Series([], dtype=object)
+            return pd.Series(list(np.stack(yv.to_numpy()) - np.stack(kv.to_numpy()) @ C))
+        Y = materialize(both.select("id", rest("k", "vec").alias("vec")), name)
+    return Y
+
+
+def randomized_svd(A: DataFrame, k: int, oversample: int = 10, tol: float = 1e-6, max_blocks: int = 60,
                    seed: int = 42) -> tuple[DataFrame, np.ndarray, DataFrame]:
-    """Top-k singular triplets of A ``(i, j, a)``.
-
-    Returns ``U(id, vec)`` (rows of U, left factor), singular values ``s``
-    (descending) and ``V(id, vec)`` (rows of V).  Rows of users without
-    edges are absent (zero rows).  May return fewer than k factors when A's
-    rank is lower.
+    """Top-k singular triplets of A ``(i, j, a)`` by a randomized block Krylov
+    space (Musco & Musco, 2015) with full reorthogonalisation.
+
+    Blocks are added until every wanted triplet has |A v - s u| <= tol * s; the
+    residual comes from the next block, so it costs nothing extra.  Raises if
+    ``max_blocks`` do not suffice.  Returns ``U(id, vec)`` (rows of U, left
+    factor), singular values ``s`` (descending) and ``V(id, vec)`` (rows of V).
+    Rows of users without edges are absent (zero rows).  May return fewer than
+    k factors when A's rank is lower.
     """
     r = k + oversample
     rows = A.select(F.col("j").alias("id")).distinct()
@@ -124,22 +160,30 @@ def randomized_svd(A: DataFrame, k: int, oversample: int = 10, power_iters: int
         F.pmod(F.xxhash64(F.col("id"), c, F.lit(seed)), F.lit(2)) == 0, F.lit(1.0)).otherwise(F.lit(-1.0)))
         .alias("vec"))
     A = A.cache()
-    Q = orthonormalise(a_times(A, omega), "svd-q")
-    for _ in range(power_iters):
-        Zt = orthonormalise(at_times(A, Q), "svd-z")
-        Q = orthonormalise(a_times(A, Zt), "svd-q")
-    Bt = materialize(at_times(A, Q), "svd-bt")              # Bᵀ = Aᵀ Q, rows j
+    Q = orthonormalise(materialize(a_times(A, omega), "svd-y"), "svd-q")
+    Z = materialize(at_times(A, Q), "svd-z")
+    K, B = Q, Z                                             # all blocks side by side, and A^T times them
+    for _ in range(max_blocks):
+        w, Ub = np.linalg.eigh(gram(B, _width(B)))          # A A^T on the Krylov space
+        order = np.argsort(w)[::-1]
+        w, Ub = w[order], Ub[:, order]
+        kk = int(min(k, (w > 1e-12 * max(w[0], 1e-300)).sum()))
+        s = np.sqrt(w[:kk])
+        Y = _outside(K, materialize(a_times(A, Z), "svd-y"), "svd-y")
+        last = Ub[-_width(Y):, :kk]
+        off = np.sqrt(np.maximum((last * (gram(Y, len(last)) @ last)).sum(0), 0)) / w[:kk]
+        if off.max() <= tol:
+            break
+        Q = orthonormalise(Y, "svd-q", floor=(1e-11 * w[0]) ** 2)
+        if Q is None:                                       # the space holds all of A's range
+            break
+        Z = materialize(at_times(A, Q), "svd-z")
+        K, B = (materialize(_beside(old, new).select("id", F.concat("k", "vec").alias("vec")), "svd-k")
+                for old, new in ((K, Q), (B, Z)))
+    else:
+        raise RuntimeError(f"no {k} singular triplets within {tol} after {max_blocks} blocks")
     A.unpersist()
-    rq = len(Bt.select("vec").first()[0])
-    M = gram(Bt, rq)                                        # B Bᵀ (rq x rq)
-    w, Ub = np.linalg.eigh(M)
-    order = np.argsort(w)[::-1]
-    w, Ub = w[order], Ub[:, order]
-    kk = int(min(k, (w > 1e-12 * max(w[0], 1e-300)).sum()))
-    s = np.sqrt(w[:kk])
-    U = times_small(Q, Ub[:, :kk])
-    V = times_small(Bt, Ub[:, :kk] / s)
-    return U, s, V
+    return times_small(K, Ub[:, :kk]), s, times_small(B, Ub[:, :kk] / s)
 
 
 def embeddings(U: DataFrame, s: np.ndarray) -> DataFrame:

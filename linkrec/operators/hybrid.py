@@ -35,15 +35,14 @@ class Factors:
     singular_values: list
 
 
-def svd_factors(train_edges: DataFrame, users: DataFrame, k: int = N_FACTORS,
-                power_iters: int = 4) -> Factors:
+def svd_factors(train_edges: DataFrame, users: DataFrame, k: int = N_FACTORS) -> Factors:
     """H7: truncated SVD of the (train) follow matrix over ``users(new_id)``;
     k = min(k, n - 1) as in the reference."""
     idx = dense_index(users.select("new_id"), "new_id", "pos")
     n = idx.count()
     k = max(1, min(k, n - 1))
     A = FZ.adjacency(train_edges, idx)
-    U, s, V = FZ.randomized_svd(A, k, power_iters=power_iters)
+    U, s, V = FZ.randomized_svd(A, k)
     back = idx.select(F.col("pos").alias("id"), F.col("new_id"))
     zero = F.array_repeat(F.lit(0.0), len(s))
     # every user gets a row; users without edges have zero factor rows

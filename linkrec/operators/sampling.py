@@ -90,9 +90,10 @@ def stratified_split(df: DataFrame, label: str, id_cols: list[str], test_frac: f
             .drop("_h", "_tie", "_rn", "_n")
 
 
-def sample_users(users: DataFrame, col: str, n: int = 200, seed: int = SEED) -> DataFrame:
-    """N users without replacement (all if fewer), by hash order."""
-    return users.select(col).distinct().orderBy(hash_order(F.col(col), seed), col).limit(n)
+def sample_users(users: DataFrame, col: str, n: int | None = None, seed: int = SEED) -> DataFrame:
+    """N users without replacement (all if fewer, or without n), by hash order."""
+    every = users.select(col).distinct()
+    return every if n is None else every.orderBy(hash_order(F.col(col), seed), col).limit(n)
 
 
 def draw_budget(n_users: int, pool: int) -> int:

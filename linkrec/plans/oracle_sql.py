@@ -39,10 +39,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         nullif(len(list_intersect(a.targets, b.targets)), 0)
           / nullif(len(list_distinct(list_concat(a.targets, b.targets))), 0) jaccard_score
         from sets_follow a cross join sets_follow b where a.user_id < b.user_id"""),
-    "strong": (("jac",), """select user_a, user_b, jaccard_score from jac where jaccard_score > 0.1
-        order by jaccard_score desc, user_a, user_b limit 10000"""),
+    "strong": (("jac",), """select user_a, user_b, jaccard_score from jac where jaccard_score > 0.1"""),
     "strong_follow": (("jac_follow",), """select user_a, user_b, jaccard_score from jac_follow
-        where jaccard_score > 0.1 order by jaccard_score desc, user_a, user_b limit 10000"""),
+        where jaccard_score > 0.1"""),
     # graph
     "vtx": (("users",), "select new_id id from users"),
     "gedges": (("follows",), "select distinct src, dst from follows"),

@@ -122,6 +122,14 @@ def q_strong(spark, sf):
 _SPOT = ", ".join(str(u) for u in daily.SPOT_CHECK_USERS)
 
 
+@query("strong_similar_top", sql(["strong"], """select user_a, user_b, round(jaccard_score, 6) jaccard_score
+    from strong order by strong.jaccard_score desc, user_a, user_b limit 10000"""))
+def q_strong_top(spark, sf):
+    """The 10,000 best pairs above the threshold (the limit is the feature)."""
+    s = S.strong_similar_pairs(S.batch_jaccard(_scores(Tables(spark, sf))), limit=10000)
+    return s.select("user_a", "user_b", rnd(F.col("jaccard_score")).alias("jaccard_score"))
+
+
 @query("spot_check", sql(["strong"], """select s.user_id, r.recommended_user,
     round(r.score, 6) score, cast(r.rk as integer) as rank from sample s left join r
     on s.user_id = r.user_id and r.rk <= 5""", extra={
@@ -386,8 +394,7 @@ _RANKING_SQL = sql(["split"], f"""select round(avg(hits / 10.0), 6) precision_at
         from nsim) where r <= 10""",
     "recs": """select node1 user_id, node2 rec, row_number() over (partition by node1 order by sim desc, node2) rank
         from top t where not exists (select 1 from trd g where g.src = t.node1 and g.dst = t.node2)""",
-    "eu": f"""select user_id from (select distinct user_id from te)
-        order by {_h("user_id || '|42'")}, user_id limit 200""",
+    "eu": "select distinct user_id from te",
     "per": """select eu.user_id,
         (select count(*) from te where te.user_id = eu.user_id) n_rel,
         (select count(*) from recs r where r.user_id = eu.user_id and r.rank <= 10
@@ -402,13 +409,13 @@ _RANKING_SQL = sql(["split"], f"""select round(avg(hits / 10.0), 6) precision_at
 @query("ranking_metrics", _RANKING_SQL)
 def q_ranking_metrics(spark, sf):
     """K1-K5: node-similarity recommendations from the train edges, judged on
-    the held-out edges of 200 sampled test users, k = 10."""
+    the held-out edges of all test users, k = 10."""
     t = Tables(spark, sf)
     sp = SM.edge_split(t.follows())
     train = sp.where(~F.col("is_test")).select("src", "dst")
     test = sp.where(F.col("is_test")).select(F.col("src").alias("user_id"), F.col("dst").alias("item"))
     recs = S.node_similarity_recs(train)
-    users = SM.sample_users(test, "user_id", 200)
+    users = SM.sample_users(test, "user_id")
     m = MT.ranking_metrics(recs, test, users, k=10)
     return m.select(*[rnd(F.col(c)).alias(c) for c in ("precision_at_k", "recall_at_k", "ndcg_at_k", "hit_rate_at_k")],
                     "users_evaluated")
@@ -995,7 +1002,7 @@ from linkrec.plans.similarity_job import run_similarity  # noqa: E402
 @query("similarity_eval")
 def q_similarity_eval(spark, sf):
     """M3 / K5: hybrid (content + SVD, alpha 0) recommendations evaluated on
-    200 sampled test users at k = 10."""
+    all test users at k = 10."""
     t = Tables(spark, sf)
     run = run_similarity(spark, t.users(), t.user_games(), t.follows())
     return run.metrics

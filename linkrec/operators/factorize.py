@@ -63,20 +63,26 @@ def at_times(A: DataFrame, Q: DataFrame) -> DataFrame:
         .withColumnRenamed("j", "id")
 
 
-def gram(Y: DataFrame, r: int) -> np.ndarray:
-    """Yᵀ Y (r x r): per-partition partial products, summed by Spark."""
+def _small_sum(df: DataFrame, product, rows: int) -> np.ndarray:
+    """Sum over all batches of the small matrix ``product(pdf)``: partial sums per
+    partition, one array per matrix row, summed by Spark; only the matrix is collected."""
     def part(it):
-        acc = np.zeros((r, r))
+        acc = 0.0
         for pdf in it:
             if len(pdf):
-                m = np.stack(pdf["vec"].to_numpy())
-                acc += m.T @ m
-        yield pd.DataFrame({"k": np.arange(r * r), "g": acc.reshape(-1)})
-    g = Y.select("vec").mapInPandas(part, "k long, g double").groupBy("k").agg(F.sum("g").alias("g"))
-    out = np.zeros(r * r)
-    for row in g.collect():                      # r*r values: bounded by the rank parameter
-        out[row.k] = row.g
-    return out.reshape(r, r)
+                acc = acc + product(pdf)
+        if not np.isscalar(acc):
+            yield pd.DataFrame({"id": np.arange(rows), "vec": list(acc)})
+    got = _sum_rows(df.mapInPandas(part, "id long, vec array<double>"), "id", "vec").toPandas()
+    return np.stack(got.sort_values("id")["vec"].to_numpy())
+
+
+def gram(Y: DataFrame, r: int) -> np.ndarray:
+    """Yᵀ Y (r x r)."""
+    def product(pdf):
+        m = np.stack(pdf["vec"].to_numpy())
+        return m.T @ m
+    return _small_sum(Y.select("vec"), product, r)
 
 
 def times_small(Y: DataFrame, W: np.ndarray) -> DataFrame:
@@ -92,22 +98,21 @@ def times_small(Y: DataFrame, W: np.ndarray) -> DataFrame:
     return Y.select("id", mul(F.col("vec")).alias("vec"))
 
 
-def orthonormalise(Y: DataFrame, name: str, floor: float = 0.0, tol: float = 1e-10) -> DataFrame | None:
-    """Q with orthonormal columns spanning Y (eigen form of Cholesky-QR, twice,
-    robust to rank deficiency: directions of a squared length up to ``floor`` or
-    ``tol`` of the largest are dropped), written to the shared checkpoint
-    folder.  None if nothing is left."""
-    for _ in range(2):
-        w, V = np.linalg.eigh(gram(Y, _width(Y)))
+def orthonormalise(Y: DataFrame, G: np.ndarray, name: str, floor: float = 0.0,
+                   tol: float = 1e-10) -> tuple[DataFrame | None, int]:
+    """(Q, width): orthonormal columns spanning Y, whose Gram matrix is G (eigen
+    form of Cholesky-QR, twice, robust to rank deficiency: directions of a
+    squared length up to ``floor`` or ``tol`` of the largest are dropped),
+    written to the shared checkpoint folder; (None, 0) if nothing is left."""
+    for again in (True, False):
+        w, V = np.linalg.eigh(G)
         keep = w > max(tol * max(w.max(), 1e-300), floor)
         if not keep.any():
-            return None
+            return None, 0
         Y, floor = materialize(times_small(Y, V[:, keep] / np.sqrt(w[keep])), name), 0.0
-    return Y
-
-
-def _width(Y: DataFrame) -> int:
-    return len(Y.select("vec").first()[0])
+        if again:
+            G = gram(Y, int(keep.sum()))
+    return Y, int(keep.sum())
 
 
 def _beside(K: DataFrame, Y: DataFrame) -> DataFrame:
@@ -115,23 +120,13 @@ def _beside(K: DataFrame, Y: DataFrame) -> DataFrame:
     return K.select("id", F.col("vec").alias("k")).join(Y, "id")
 
 
-def _outside(K: DataFrame, Y: DataFrame, name: str) -> DataFrame:
-    """Y minus its projection on the orthonormal columns of K, taken twice."""
-    k, r = _width(K), _width(Y)
+def _outside(K: DataFrame, k: int, Y: DataFrame, r: int, name: str) -> DataFrame:
+    """Y (r wide) minus its projection on the k orthonormal columns of K, taken twice."""
     for _ in range(2):
         both = _beside(K, Y)
 
-        def part(it):
-            acc = np.zeros((k, r))
-            for pdf in it:
-                if len(pdf):
-                    acc += np.stack(pdf["k"].to_numpy()).T @ np.stack(pdf["vec"].to_numpy())
-            yield pd.DataFrame({"p": np.arange(k * r), "g": acc.reshape(-1)})
-        C = np.zeros(k * r)
-        for row in (both.select("k", "vec").mapInPandas(part, "p long, g double")
-                    .groupBy("p").agg(F.sum("g").alias("g")).collect()):   # k*r values: bounded by the rank
-            C[row.p] = row.g
-        C = C.reshape(k, r)
+        C = _small_sum(both.select("k", "vec"),
+                       lambda pdf: np.stack(pdf["k"].to_numpy()).T @ np.stack(pdf["vec"].to_numpy()), k)
 
         @F.pandas_udf(ARR)
         def rest(kv: pd.Series, yv: pd.Series) -> pd.Series:
@@ -142,7 +137,7 @@ def _outside(K: DataFrame, Y: DataFrame, name: str) -> DataFrame:
     return Y
 
 
-def randomized_svd(A: DataFrame, k: int, oversample: int = 10, tol: float = 1e-6, max_blocks: int = 60,
+def randomized_svd(A: DataFrame, k: int, oversample: int = 10, tol: float = 1e-5, max_blocks: int = 60,
                    seed: int = 42) -> tuple[DataFrame, np.ndarray, DataFrame]:
     """Top-k singular triplets of A ``(i, j, a)`` by a randomized block Krylov
     space (Musco & Musco, 2015) with full reorthogonalisation.
@@ -160,26 +155,28 @@ def randomized_svd(A: DataFrame, k: int, oversample: int = 10, tol: float = 1e-6
         F.pmod(F.xxhash64(F.col("id"), c, F.lit(seed)), F.lit(2)) == 0, F.lit(1.0)).otherwise(F.lit(-1.0)))
         .alias("vec"))
     A = A.cache()
-    Q = orthonormalise(materialize(a_times(A, omega), "svd-y"), "svd-q")
+    Y = materialize(a_times(A, omega), "svd-y")
+    Q, r = orthonormalise(Y, gram(Y, r), "svd-q")
     Z = materialize(at_times(A, Q), "svd-z")
-    K, B = Q, Z                                             # all blocks side by side, and A^T times them
+    K, B, width = Q, Z, r                                   # all blocks side by side, and A^T times them
     for _ in range(max_blocks):
-        w, Ub = np.linalg.eigh(gram(B, _width(B)))          # A A^T on the Krylov space
+        w, Ub = np.linalg.eigh(gram(B, width))              # A A^T on the Krylov space
         order = np.argsort(w)[::-1]
         w, Ub = w[order], Ub[:, order]
         kk = int(min(k, (w > 1e-12 * max(w[0], 1e-300)).sum()))
         s = np.sqrt(w[:kk])
-        Y = _outside(K, materialize(a_times(A, Z), "svd-y"), "svd-y")
-        last = Ub[-_width(Y):, :kk]
-        off = np.sqrt(np.maximum((last * (gram(Y, len(last)) @ last)).sum(0), 0)) / w[:kk]
+        Y = _outside(K, width, materialize(a_times(A, Z), "svd-y"), r, "svd-y")
+        G, last = gram(Y, r), Ub[-r:, :kk]
+        off = np.sqrt(np.maximum((last * (G @ last)).sum(0), 0)) / w[:kk]
         if off.max() <= tol:
             break
-        Q = orthonormalise(Y, "svd-q", floor=(1e-11 * w[0]) ** 2)
+        Q, r = orthonormalise(Y, G, "svd-q", floor=(1e-11 * w[0]) ** 2)
         if Q is None:                                       # the space holds all of A's range
             break
         Z = materialize(at_times(A, Q), "svd-z")
         K, B = (materialize(_beside(old, new).select("id", F.concat("k", "vec").alias("vec")), "svd-k")
                 for old, new in ((K, Q), (B, Z)))
+        width += r
     else:
         raise RuntimeError(f"no {k} singular triplets within {tol} after {max_blocks} blocks")
     A.unpersist()

@@ -7,6 +7,8 @@ Uniformity is what makes the per-group rank skew-safe (``rank_in_group``).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -57,25 +59,33 @@ def positive_samples(known: DataFrame, n: int = 5000, seed: int = SEED) -> DataF
 def negative_samples(spark: SparkSession, users: DataFrame, edges: DataFrame, n: int = 5000,
                      seed: int = SEED, tries_per_sample: int = 20, undirected: bool = False) -> DataFrame:
     """Draw (u, v) uniformly from the users, keep u != v and (u, v) not a
-    directed edge, in draw order, until n (at most ``tries_per_sample * n``
-    draws).  Reversed edges and repeats are allowed unless ``undirected``.
+    directed edge, in draw order, until n.  Reversed edges and repeats are
+    allowed unless ``undirected``.
 
     Draw i picks positions md5(i|u|seed) mod N and md5(i|v|seed) mod N in
-    the dense user index (D9); the draws are a distributed ``range``.
+    the dense user index (D9); the draws are a distributed ``range`` of
+    ``tries_per_sample * n``, or of four times the draws that the number of free pairs
+    lets expect, where the graph is so dense that this is more.  A graph without a free pair has
+    no negatives.
     """
     idx = dense_index(users.select("new_id"), "new_id", "pos")
-    total = idx.agg(F.count(F.lit(1))).scalar()
-    draws = spark.range(tries_per_sample * n).select(
+    total = idx.agg(F.count(F.lit(1))).first()[0]
+    e = edges.select("src", "dst")
+    if undirected:
+        e = e.union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    e = e.where(F.col("src") != F.col("dst")).distinct()
+    taken = (e.join(users.select(F.col("new_id").alias("src")).distinct(), "src", "left_semi")
+             .join(users.select(F.col("new_id").alias("dst")).distinct(), "dst", "left_semi").count())
+    free = total * (total - 1) - taken
+    tries = max(tries_per_sample * n, 4 * -(-n * total * total // free) + 64) if free > 0 else 0
+    draws = spark.range(tries).select(
         F.col("id").alias("draw"),
-        F.pmod(hash_order(F.col("id"), "u", seed), total).alias("pu"),
-        F.pmod(hash_order(F.col("id"), "v", seed), total).alias("pv"))
+        F.pmod(hash_order(F.col("id"), "u", seed), F.lit(max(total, 1))).alias("pu"),
+        F.pmod(hash_order(F.col("id"), "v", seed), F.lit(max(total, 1))).alias("pv"))
     pairs = (draws.join(idx.select(F.col("pos").alias("pu"), F.col("new_id").alias("src")), "pu")
              .join(idx.select(F.col("pos").alias("pv"), F.col("new_id").alias("dst")), "pv")
              .where(F.col("src") != F.col("dst")))
-    e = edges.select("src", "dst")
-    if undirected:
-        e = e.union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    pairs = pairs.join(e.distinct(), ["src", "dst"], "left_anti")
+    pairs = pairs.join(e, ["src", "dst"], "left_anti")
     return pairs.orderBy("draw").limit(n).select("draw", "src", "dst")
 
 
@@ -96,26 +106,31 @@ def sample_users(users: DataFrame, col: str, n: int | None = None, seed: int = S
     return every if n is None else every.orderBy(hash_order(F.col(col), seed), col).limit(n)
 
 
-def draw_budget(n_users: int, pool: int) -> int:
-    """Draws per user for I6: enough for ``pool`` distinct positions out of
-    ``n_users`` with a wide margin (expected repeats ~ pool**2 / 2n), capped
-    at 4 * pool for small user sets."""
-    return int(min(4 * pool, pool + -(-8 * pool * pool // max(n_users, 1)) + 32))
+def next_prime(n: int) -> int:
+    """The smallest prime >= max(n, 2)."""
+    p = max(n, 2)
+    while any(p % d == 0 for d in range(2, math.isqrt(p) + 1)):
+        p += 1
+    return p
 
 
 def candidates(users: DataFrame, pool: int = 200, seed: int = SEED) -> DataFrame:
-    """Per user, ``pool`` distinct users drawn uniformly (may include the
-    user itself; the caller filters).  Draw j of user u picks position
-    md5(u|j|seed) mod N; the first ``pool`` distinct positions in draw order
-    are kept, out of ``draw_budget(N, pool)`` draws."""
+    """Per user, exactly min(pool, N) distinct users (may include the
+    user itself; the caller filters).  With the prime p >= N, draw j of user u is
+    position (start + j * step) mod p, start and step hashed from u: a keyed
+    permutation of 0..p-1, so no position repeats and pool + p - N draws hold
+    ``pool`` positions below N."""
     idx = dense_index(users.select("new_id"), "new_id", "pos")
     total = idx.count()
-    draws = draw_budget(total, pool)
-    d = users.select(F.col("new_id").alias("user_id"),
-                     F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("j"))
-    d = d.withColumn("pos", F.pmod(hash_order(F.col("user_id"), F.col("j"), seed), F.lit(total)))
-    first = d.groupBy("user_id", "pos").agg(F.min("j").alias("j"))
-    ranked = first.withColumn("_r", F.row_number().over(Window.partitionBy("user_id").orderBy("j")))
+    prime = next_prime(total)
+    draws = min(prime, pool + prime - total)
+    u = users.select(F.col("new_id").alias("user_id")).distinct()
+    d = (u.withColumn("_start", F.pmod(hash_order(F.col("user_id"), "start", seed), F.lit(prime)))
+         .withColumn("_step", F.pmod(hash_order(F.col("user_id"), "step", seed), F.lit(prime - 1)) + 1)
+         .withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(draws - 1).cast("bigint")))))
+    d = d.select("user_id", "j", F.pmod(F.col("_start") + F.col("j") * F.col("_step"), F.lit(prime)).alias("pos"))
+    ranked = d.where(F.col("pos") < total).withColumn(
+        "_r", F.row_number().over(Window.partitionBy("user_id").orderBy("j")))
     picked = ranked.where(F.col("_r") <= pool)
     return picked.join(idx, "pos").select("user_id", F.col("new_id").alias("candidate"), "j")
 

@@ -18,6 +18,7 @@ from linkrec.operators import models as MD
 from linkrec.operators import pagerank as PR
 from linkrec.operators import pairs as PF
 from linkrec.operators import sampling as SM
+from linkrec.operators import writes as WR
 from linkrec.operators.metrics import best_model
 from linkrec.operators.topk import top_k_per
 from linkrec.session import materialize
@@ -116,13 +117,13 @@ class LinkPrediction:
 
     @cached_property
     def sage(self):
-        """Two mean-aggregation hops over [SVD U Σ (+) views, days,
+        """Three mean-aggregation hops over [SVD U Σ (+) views, days,
         partner, mature], Hadamard pair features, logistic head."""
         base = (self.fm.select(F.col("new_id").alias("id"),
                                F.array("views", "days", "partner", "mature").alias("_b"))
                 .join(self.embeddings, "id", "left")
                 .select("id", F.concat(F.coalesce("emb", F.array_repeat(F.lit(0.0), N_FACTORS)), "_b").alias("z")))
-        z = MD.sage_mean_aggregate(base, self.directed, hops=2)
+        z = MD.sage_mean_aggregate(base, self.directed, hops=3)
         ds = self.dataset.select("u", "v", "label", "is_test")
         h = MD.hadamard_pairs(ds, z)
         model = MD.fit_logistic(h.where(~F.col("is_test")))
@@ -146,3 +147,7 @@ class LinkPrediction:
         scored = MD.score(self.boosted[0], feats)
         top = top_k_per(scored, "u", [F.col("score").desc(), F.col("v")], k)
         return top.select(F.col("u").alias("user_id"), F.col("v").alias("recommended_user"), "rank", "score")
+
+    def saved_recommendations(self, pool: int = CANDIDATE_POOL, k: int = TOP_K) -> DataFrame:
+        """A14 for H14: the table of saved recommendations, one row per (user, recommended user)."""
+        return WR.truncate_and_load(self.recommendations(pool, k), ["user_id", "recommended_user"], [F.col("rank")])

@@ -122,13 +122,18 @@ CTES.update({
         order by draw limit 5000"""),
     "dataset": (("pos", "neg"), """select src u, dst v, 1 label from pos
         union all select src, dst, 0 from neg"""),
-    "cands": (("uidx", "nusers"), f"""select user_id, new_id candidate, j from
+    # the smallest prime from the number of users on
+    "prime": (("nusers",), """select min(p) p from (select unnest(range(greatest(c, 2), 2 * c + 3)) p from nusers)
+        where p not in (select a * b from (select unnest(range(2, c + 2)) a from nusers),
+                                          (select unnest(range(2, c + 2)) b from nusers))"""),
+    "cands": (("uidx", "nusers", "prime"), f"""select user_id, new_id candidate, j from
         (select user_id, pos, j, row_number() over (partition by user_id order by j) rk from
-          (select user_id, pos, min(j) j from
-            (select new_id user_id, j, {h("new_id || '|' || j || '|42'")} % (select c from nusers) pos
-             from users, range(0, 800) t(j)
-             where j < least(800, 200 + ceil(8 * 200 * 200 / (select c from nusers)) + 32))
-           group by user_id, pos))
+          (select user_id, j, (start + j * step) % p pos from
+            (select new_id user_id, p, {h("new_id || '|start|42'")} % p start,
+                    {h("new_id || '|step|42'")} % (p - 1) + 1 step,
+                    unnest(range(0, least(p, 200 + p - c))) j
+             from users, nusers, prime))
+         where pos < (select c from nusers))
         join uidx using (pos) where rk <= 200"""),
     # pair features over the feature-matrix users' graph
     "fkedges": (("follows", "fusers"), """select distinct src, dst from follows

@@ -869,8 +869,8 @@ def q_best_model(spark, sf):
 
 @query("ml_recs")
 def q_ml_recs(spark, sf):
-    """H14 for every user: 200 candidates, boosted-tree scores, top 10."""
-    return _lp(spark, sf).recommendations()
+    """H14 for every user: 200 candidates, boosted-tree scores, top 10, saved."""
+    return _lp(spark, sf).saved_recommendations()
 
 
 @query("sage_mean_agg", sql(["base", "fkedges"], """select id, cast(pos as bigint) pos, round(value, 6) value from (

@@ -50,6 +50,22 @@ def test_stratified_split_keeps_ratio(spark):
     assert c[(1, True)] == 20 and c[(0, True)] == 60
 
 
+def test_candidates_exact_for_small_user_sets(spark):
+    for n in (1, 2, 3, 20, 150, 204):
+        users = spark.createDataFrame([(i * 7,) for i in range(n)], "new_id long")
+        per = SM.candidates(users).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("candidate").alias("d"))
+        assert {(r.n, r.d) for r in per.collect()} == {(min(n, 200), min(n, 200))} and per.count() == n
+
+
+def test_negative_samples_on_dense_graphs(spark):
+    users = spark.createDataFrame([(i,) for i in range(40)], "new_id long")
+    full = [(a, b) for a in range(40) for b in range(40) if a != b]
+    edges = spark.createDataFrame(full[:-3], "src long, dst long")
+    neg = SM.negative_samples(spark, users, edges, n=50).collect()
+    assert len(neg) == 50 and {(r.src, r.dst) for r in neg} <= set(full[-3:])
+    assert SM.negative_samples(spark, users, spark.createDataFrame(full, "src long, dst long"), n=5).count() == 0
+
+
 def test_candidates_distinct_and_bounded(spark):
     users = Tables(spark, SF001).users()
     c = SM.candidates(users, pool=20)

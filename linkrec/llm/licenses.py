@@ -4,8 +4,11 @@ Units are the lines of a text and, for licence texts over several lines, its
 paragraphs (parted by blank lines).  A unit's words are its lower-cased runs of
 letters and digits.  Dice = 2 |A and B| / (|A| + |B|) >= t bounds the sizes:
 |A| lies between t / (2 - t) and (2 - t) / t times |B|; units whose number of
-words fits no template are dropped before any bigram is made, and only pairs that pass the
-bound are counted, by a join on the bigram.
+words fits no template are dropped before any pair is made, and only pairs that pass the
+bound are counted, by a join on the bigram.  The same bound says that a match holds
+t / (2 - t) of a template's bigrams, so of any set of more bigrams than the rest it
+holds at least one, with both words; texts and units without such a pair of words for
+any template are passed over before they are cut into words.  Nothing that matches is lost.
 
 Edge cases: null and empty texts have no units; units of one word have no
 bigram and match nothing; a unit reports each template it reaches; equal units of a
@@ -73,21 +76,47 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     return t.select("license", F.size("b").alias("n_template"), F.explode("b").alias("bigram"))
 
 
+def anchors(template_bigrams: dict[str, list[str]], low: float) -> dict[str, list[str]]:
+    """Words and, for each, their partners: a unit that reaches a template holds a word and one of
+    its partners.  At most (1 - low) of a template's bigrams may be missing, so one more than that are
+    taken, those with long words (which are rare) or words taken before first."""
+    partners: dict[str, set[str]] = {}
+    for own in template_bigrams.values():
+        pairs = [sorted(b.split(" "), key=lambda x: (len(x), x)) for b in own]
+        need = int((1 - low) * len(pairs) + 1e-6) + 1
+        for short, long in sorted(pairs, key=lambda p: (p[1] not in partners, -len(p[1]), p))[:need]:
+            partners.setdefault(long, set()).add(short)
+    return {w: sorted(p) for w, p in sorted(partners.items())}
+
+
+def may_match(text: Column, words_of: dict[str, list[str]]) -> Column:
+    """Whether the text holds one of the words and a partner of it.  The one-element array has
+    the text lower-cased once, not once a word."""
+    if not words_of:
+        return F.lit(False)
+    known = F.array(*[F.struct(F.lit(w).alias("w"), F.array(*map(F.lit, p)).alias("p")) for w, p in words_of.items()])
+    return F.exists(F.array(F.lower(text)), lambda t: F.exists(
+        known, lambda a: F.contains(t, a["w"]) & F.exists(a["p"], lambda q: F.contains(t, q))))
+
+
 def license_units(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, unit_words, license, dice) per matching unit of a document; `unit_words` is the
     unit's normalised text."""
     spark = docs.sparkSession
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     table = template_table(spark, templates)
-    sizes = [r["n_template"] for r in table.select("license", "n_template").distinct().collect()]
+    own: dict[str, list[str]] = {}
+    for r in table.collect():                  # the templates' own bigrams, a fixed small number
+        own.setdefault(r["license"], []).append(r["bigram"])
+    words_of = anchors(own, low)
     fits = F.lit(False)
-    for n in sorted(set(sizes)):
+    for n in sorted({len(b) for b in own.values()}):
         fits = fits | F.col("n_unit").between(F.lit(n * low - 1e-9), F.lit(n * high + 1e-9))
     text = F.col("text")
     # a paragraph that is one line is that line
     paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n"), lambda p: F.instr(F.trim(p), "\n") > 0)
-    units = (docs.where(text.isNotNull()).select("doc_id", F.explode(F.concat(F.split(text, "\n"), paragraphs)).alias("u"))
-             .where(F.length("u") > 0))
+    units = (docs.where(may_match(text, words_of)).select("doc_id", F.explode(F.concat(F.split(text, "\n"), paragraphs)).alias("u"))
+             .where(may_match(F.col("u"), words_of)))
     unit = (units.select("doc_id", words(F.col("u")).alias("w")).where(F.size("w") > 1)
             .select("doc_id", F.array_join("w", " ").alias("unit_words"), bigrams(F.col("w")).alias("b"))
             .withColumn("n_unit", F.size("b")).where(fits))

@@ -56,23 +56,29 @@ class Trie:
         """The nearest term and its distance, 0 or 1."""
         if word in self.exact:
             return word, 0
-        if word in self.not_terms or not self.low <= len(word) <= self.high:
+        # first letters agree, so the walk starts below the word's first letter
+        start = self.root.get(word[:1])
+        if start is None or word in self.not_terms or not self.low <= len(word) <= self.high:
             return None
-        stack = [(self.root, list(range(len(word) + 1)), 0)]
+        n = len(word)
+        # of a row of distances only three cells can hold 0 or 1: depth - 1, depth and depth + 1 letters of the word
+        stack = [(start, 1, 1, 0, 1 if n > 1 else 2)]
         while stack:
-            node, row, depth = stack.pop()
+            node, depth, low, mid, high = stack.pop()
+            term = node.get("")
+            if term is not None and len(term) >= 5:
+                last = n - depth
+                found = mid if last == 0 else low if last == -1 else high if last == 1 else 2
+                if found <= 1:
+                    return term, found
             for c, nxt in node.items():
                 if c == "":
-                    if row[-1] <= 1 and len(nxt) >= 5:
-                        return nxt, row[-1]
                     continue
-                if depth == 0 and c != word[:1]:
-                    continue
-                new = [row[0] + 1]
-                for i, x in enumerate(word):
-                    new.append(min(new[i] + 1, row[i + 1] + 1, row[i] + (x != c)))
-                if min(new) <= 1:
-                    stack.append((nxt, new, depth + 1))
+                new_low = min(low + (word[depth - 1:depth] != c), mid + 1)
+                new_mid = min(mid + (word[depth] != c), high + 1, new_low + 1) if depth < n else 2
+                new_high = min(high + (word[depth + 1] != c), new_mid + 1) if depth + 1 < n else 2
+                if new_low <= 1 or new_mid <= 1 or new_high <= 1:
+                    stack.append((nxt, depth + 1, new_low, new_mid, new_high))
         return None
 
 
@@ -90,25 +96,39 @@ def plain(token: str) -> str:
     return "".join(c for c in spelled if c.isalpha())
 
 
-def features(text: str | None, trie: Trie, cache: dict) -> np.ndarray:
+class Tokens:
+    """Matches of the tokens met so far: those that are hits, and the set of the others."""
+
+    def __init__(self, trie: Trie):
+        self.trie, self.hits, self.misses = trie, {}, set()
+
+    def of(self, tokens: list[str]) -> dict[str, tuple[str, int]]:
+        """The hits among `tokens`, by token."""
+        distinct = set(tokens)
+        fresh = distinct - self.misses
+        found = {}
+        if len(self.misses) + len(self.hits) > CACHE:
+            self.hits, self.misses = {}, set()
+        for t in fresh:
+            m = self.hits.get(t) or self.trie.match(plain(t))
+            if m:
+                self.hits[t] = found[t] = m
+            else:
+                self.misses.add(t)
+        return found
+
+
+def features(text: str | None, known: Tokens) -> np.ndarray:
     """[any, log exact, log misspelled, log quoted, log direct, share of words]."""
     tokens = (text or "").split()
-    hit = False
-    for t in set(tokens):
-        if t not in cache:
-            if len(cache) > CACHE:
-                cache.clear()
-            cache[t] = trie.match(plain(t))
-        hit = hit or cache[t] is not None
-    if not hit:
+    hits = known.of(tokens)
+    if not hits:
         return np.zeros(6)
     exact = fuzzy = quoted = direct = 0
-    open_quote = False
+    open_quote, quotes = False, [q for q in QUOTES if q in text]
     for i, t in enumerate(tokens):
-        marks = sum(t.count(q) for q in QUOTES)
-        m = cache.get(t)
-        if m is None and t not in cache:          # the cache was cleared meanwhile
-            m = trie.match(plain(t))
+        marks = sum(t.count(q) for q in quotes)
+        m = hits.get(t)
         if m:
             around = [plain(x) for x in tokens[max(0, i - WINDOW):i + WINDOW + 1]]
             if open_quote or marks or REPORTING & set(around[:min(i, WINDOW)]):
@@ -187,21 +207,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> list[float]:
 
 
 def _feature_udf(model: dict):
+    """An iterator UDF: one trie and one token cache for all batches of a task."""
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def run(text: pd.Series) -> pd.Series:
-        trie, cache = Trie(model["terms"], model["not_terms"]), {}
-        return pd.Series([features(t, trie, cache) for t in text])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = Tokens(Trie(model["terms"], model["not_terms"]))
+        for text in batches:
+            yield pd.Series([features(t, known) for t in text])
     return run
 
 
 def _scorer(model: dict):
-    """An iterator UDF: one trie and one token cache for all batches of a task."""
     @F.pandas_udf(T.DoubleType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        trie, cache = Trie(model["terms"], model["not_terms"]), {}
+        known = Tokens(Trie(model["terms"], model["not_terms"]))
         w = np.array(model["weights"])
         for text in batches:
-            z = np.array([w[0] + features(t, trie, cache) @ w[1:] for t in text])
+            z = np.array([w[0] + features(t, known) @ w[1:] for t in text])
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
     return run
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from linkrec.llm.decontam import clean, contaminated
 from linkrec.llm.licenses import TEMPLATES, scan_licenses
 from linkrec.llm.line_dedup import line_report
-from linkrec.llm.toxicity import Trie, features, fit, plain, score, toxicity
+from linkrec.llm.toxicity import Tokens, Trie, features, fit, plain, score, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -73,8 +73,8 @@ def test_automaton_and_context():
     assert trie.match("idiot") == ("idiot", 0) and trie.match("idjot") == ("idiot", 1) and trie.match("idiott") == ("idiot", 1)
     assert trie.match("scam") is None and trie.match("oron") is None and trie.match("motion") is None
     assert plain("1d10t!!") == "idiot" and plain("$$$") == ""
-    assert features("you idiot", trie, {})[4] > 0 and features("he said \"idiot\"", trie, {})[3] > 0
-    assert not features(None, trie, {}).any() and not features("fine words", trie, {}).any()
+    assert features("you idiot", Tokens(trie))[4] > 0 and features("he said \"idiot\"", Tokens(trie))[3] > 0
+    assert not features(None, Tokens(trie)).any() and not features("fine words", Tokens(trie)).any()
 
 
 def test_toxicity_learns_and_holds_out(spark):

@@ -4,8 +4,10 @@ Texts are canonicalised token by token: numbers, names (capitalised words inside
 a sentence) and units become typed placeholders.  Every window of `w` template
 tokens is hashed and hash-joined to the benchmark's windows; a document holds an
 item if it has `coverage` of the item's distinct windows.  For items with
-placeholders the documents' values must then fit: a value of the item is
-replaced by the same value throughout, in `coverage` of its matched places.
+placeholders the documents' values must then fit, in one stretch of the document that
+has the coverage: a value of the item is replaced by the same value throughout,
+in `coverage` of its matched places.  Any one stretch that fits is enough, so
+siblings of the same template beside a copy do not hide it.
 So verbatim copies and re-parameterised ones are caught, chance templates are not.
 
 Edge cases: null and empty texts hold and match nothing; texts shorter than a
@@ -76,39 +78,69 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, w: int = WINDOW, coverag
     held = materialize(held.select("doc_id", "row", "item_id", "n_windows", "n_matched", "coverage"), "held")
     slotted = (items.where(F.exists(tokens(F.col("text")), lambda t: kind(t).isNotNull())).select("item_id"))
     open_ = held.join(slotted, "item_id", "left_semi")
-    fit = _consistency(open_, rows, items, w) if not open_.isEmpty() else None
+    fit = _best_stretch(open_, rows, items, w, coverage) if not open_.isEmpty() else None
     if fit is None:
         return held.withColumn("n_slots", F.lit(0).cast("bigint")).withColumn("consistency", F.lit(1.0))
-    fit = fit.withColumnsRenamed({"doc_id": "_d", "row": "_r", "item_id": "_i"})
-    return (held.join(fit, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("row") == F.col("_r"))
-                      & (F.col("item_id") == F.col("_i")), "left").drop("_d", "_r", "_i")
-            .withColumns({"n_slots": F.coalesce("n_slots", F.lit(0).cast("bigint")),
-                          "consistency": F.coalesce("consistency", F.lit(1.0))})
-            .where(F.col("consistency") >= coverage - 1e-9))
+    plain = held.join(slotted, "item_id", "left_anti").withColumns(
+        {"n_slots": F.lit(0).cast("bigint"), "consistency": F.lit(1.0)})
+    return plain.select(*fit.columns).unionAll(fit)
 
 
 def _slots(df: DataFrame, keys: list[str], w: int) -> DataFrame:
-    """(keys, window, place, kind, value) of every placeholder in every window."""
+    """(keys, pos, window, slots): every window with the (place, value) of its placeholders."""
     toks = df.where(F.length("text") > 0).select(*keys, tokens(F.col("text")).alias("t")).where(F.size("t") > 0)
     at = (windows(df, keys, w).join(
         toks.select(*[F.col(k).alias(f"_{k}") for k in keys], "t"),
         [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(*[f"_{k}" for k in keys]))
-    return (at.select(*keys, "pos", "window", F.posexplode(F.slice("t", F.col("pos") + 1, F.lit(w))).alias("place", "value"))
-            .where(kind(F.col("value")).isNotNull()))
-
-
-def _consistency(open_: DataFrame, rows: DataFrame, items: DataFrame, w: int) -> DataFrame:
-    """(doc_id, row, item_id, n_slots, consistency): of the matched placeholders, the share whose
-    value is the one that the item's value has most often in the document."""
-    of_docs = rows.join(open_.select("doc_id", "row").distinct().withColumnsRenamed({"doc_id": "_d", "row": "_r"}),
-                        F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("row") == F.col("_r")), "left_semi")
-    mine = _slots(of_docs.distinct(), ["doc_id", "row"], w).withColumnRenamed("value", "doc_value").drop("pos")
-    theirs = _slots(items, ["item_id"], w).drop("pos").withColumnRenamed("value", "item_value")
-    pairs = (mine.join(theirs, ["window", "place"])
-             .groupBy("doc_id", "row", "item_id", "item_value", "doc_value").agg(F.count(F.lit(1)).alias("c"))
-             .groupBy("doc_id", "row", "item_id", "item_value").agg(F.max("c").alias("top"), F.sum("c").alias("all")))
-    return pairs.groupBy("doc_id", "row", "item_id").agg(
-        F.count(F.lit(1)).alias("n_slots"), (F.sum("top") / F.sum("all")).alias("consistency"))
+    return at.select(*keys, "pos", "window", F.filter(F.transform(
+        F.slice("t", F.col("pos") + 1, F.lit(w)), lambda v, i: F.struct(i.alias("place"), v.alias("value"))),
+        lambda x: kind(x["value"]).isNotNull()).alias("slots"))
+
+
+def _stretches(start: Column, length: Column) -> Column:
+    """The stretches (level, k) of an occurrence's start: that start alone, the ranges of 2, 4, ... starts up
+    to the item's length or more, each range twice (half a range apart, so that a drift of half a
+    range stays inside one), and the whole document."""
+    ranges = F.flatten(F.transform(F.sequence(F.lit(0), F.ceil(F.log2(length + 1)).cast("int")), lambda level: F.transform(
+        F.array(F.lit(0), F.lit(1)), lambda back: F.struct(
+            level.alias("level"), (F.floor(start / F.pow(F.lit(2.0), level)) - back).cast("bigint").alias("k")))))
+    one = [F.struct(F.lit(n).alias("level"), k.cast("bigint").alias("k")) for n, k in ((-1, start), (-2, F.lit(0)))]
+    return F.concat(F.array(*one), ranges)
+
+
+def _best_stretch(open_: DataFrame, rows: DataFrame, items: DataFrame, w: int, coverage: float) -> DataFrame:
+    """`open_` with n_slots and consistency, and n_matched and coverage, of the best stretch that reaches
+    `coverage` in both; rows without one are dropped.  A stretch takes the window matches whose starts (place
+    in the document less place in the item) lie together, so a copy is judged without its siblings.
+    Consistency: of the matched placeholders, the share whose value is the one that the item's value
+    has most often in the stretch."""
+    pair, cond = ["doc_id", "row", "item_id"], lambda: F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("row") == F.col("_r"))
+    wanted = open_.select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), F.col("item_id").alias("_i"),
+                          "n_windows")
+    of_docs = rows.join(wanted.select("_d", "_r").distinct(), cond(), "left_semi").distinct()
+    mine = _slots(of_docs, ["doc_id", "row"], w).withColumnRenamed("slots", "doc_slots")
+    theirs = _slots(items.join(wanted, F.col("item_id") == F.col("_i"), "left_semi"), ["item_id"], w).select(
+        "item_id", "window", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
+    at = mine.join(theirs, "window").join(wanted, cond() & (F.col("item_id") == F.col("_i"))).select(
+        *pair, "n_windows", "window", (F.col("pos") - F.col("item_pos")).cast("bigint").alias("start"), "item_slots", "doc_slots")
+    # equal windows have their placeholders at the same places
+    at = at.select(*pair, "n_windows", "window", F.explode(_stretches(F.col("start"), F.col("n_windows") + w)).alias("s"),
+                   F.arrays_zip(F.col("item_slots.value").alias("item_value"), F.col("doc_slots.value").alias("doc_value")).alias("v"))
+    at = materialize(at, "aligned")
+    keys = [*pair, "s", "n_windows"]
+    found = (at.groupBy(*keys).agg(F.count_distinct("window").alias("n_matched"))
+             .withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
+             .where(F.col("coverage") >= coverage - 1e-9))
+    fit = (at.select(*pair, "s", F.explode("v").alias("v")).groupBy(*pair, "s", "v").agg(F.count(F.lit(1)).alias("c"))
+           .groupBy(*pair, "s", F.col("v.item_value").alias("item_value")).agg(F.max("c").alias("top"), F.sum("c").alias("all"))
+           .groupBy(*pair, "s").agg(F.count(F.lit(1)).alias("n_slots"), (F.sum("top") / F.sum("all")).alias("consistency")))
+    fit = fit.withColumnsRenamed({"doc_id": "_d", "row": "_r", "item_id": "_i", "s": "_s"})
+    fitting = (found.join(fit, cond() & (F.col("item_id") == F.col("_i")) & (F.col("s") == F.col("_s")), "left")
+               .withColumns({"n_slots": F.coalesce("n_slots", F.lit(0).cast("bigint")),
+                             "consistency": F.coalesce("consistency", F.lit(1.0))})
+               .where(F.col("consistency") >= coverage - 1e-9))
+    best = fitting.groupBy(*pair).agg(F.max(F.struct("coverage", "consistency", "n_slots", "n_matched", "n_windows")).alias("b"))
+    return best.select(*pair, "b.n_windows", "b.n_matched", "b.coverage", "b.n_slots", "b.consistency")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

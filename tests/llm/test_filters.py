@@ -59,6 +59,22 @@ def test_decontamination(spark):
     assert contaminated(df.limit(0), bench).count() == 0 and contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_judges_each_occurrence(spark):
+    a = "Please say what the capital city of France is and name two rivers that run through it today."
+    b = a.replace("France", "Spain")
+    sum_ = "Then Tom buys 14 apples and 3 pears, and later Tom gives 3 pears and 5 of the 14 apples to his sister."
+    other = sum_.replace("14", "21").replace("3", "8").replace("5", "2")
+    bench = spark.createDataFrame([(1, a), (2, b), (3, sum_)], "item_id long, text string")
+    drift = sum_.replace("and later", "and then a good deal later")
+    mixed = sum_.replace("gives 3", "gives 9").replace("the 14", "the 77")      # values that do not fit
+    rows = [(1, a + " " + b), (2, sum_ + " " + other), (3, " ".join([other, "Some words between them.", sum_, other])),
+            (4, a), (5, "\n".join(a.replace("France", x) for x in ("Italy", "Norway", "Peru", "Spain"))),
+            (6, other + " " + drift), (7, mixed), (8, mixed.replace("14", "1") + " " + mixed)]
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs(spark, rows), bench).collect()}
+    assert got == {(i, k) for i in (1, 4, 5) for k in (1, 2)} | {(2, 3), (3, 3), (6, 3)}
+    assert {r.doc_id for r in clean(docs(spark, rows), bench).collect()} == {7, 8}
+
+
 def test_licenses(spark):
     rows = [(1, "foo\n\nReleased under the MIT license!\n\nbar"), (2, TEMPLATES["MIT"].replace(" to ", " to\n")),
             (3, "license of the mit"), (4, None), (5, ""), (6, "All rights reserved.\n\nALL RIGHTS RESERVED")]

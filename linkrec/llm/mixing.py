@@ -9,8 +9,9 @@ Spark aggregations over the lossless (source, size) histogram, for all sources
 at once.  A source whose target is `cap` times its size is taken `cap` times whole.
 
 Rates become copies by systematic rounding in order of size, which keeps the
-running total within half a document, and by moving single copies of the size
-class nearest to what is still missing.  Inside a class, copies go to documents in
+running total within half a document, and what is still missing or too much is
+spread over the size classes until it is at most half of the smallest document that can
+still be moved.  Inside a class, copies go to documents in
 hash order, so reruns agree.
 
 Edge cases: null sources are one source, last in order; null and word-less
@@ -20,6 +21,7 @@ rows; rows of the same doc_id and text get the same number of copies.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -87,7 +89,46 @@ def solve(classes: DataFrame, goal: DataFrame, cap: int = CAP, tolerance: float
     return state.drop("lo", "hi", "off")
 
 
-def class_copies(classes: DataFrame, dual: DataFrame, goal: DataFrame, cap: int = CAP, passes: int = 5) -> DataFrame:
+def _close_gap(sizes: list[int], copies: list[int], most: list[int], gap: float) -> list[int]:
+    """Copies moved so that the gap (target less what is taken) is at most half of the smallest document that
+    can still be moved its way.  The classes come in falling order of their sizes, all above 0.  The gap is
+    first spread evenly over the room of the classes that fit into it; of the rest, every class takes
+    whole copies, the longest first; last, single copies are moved as long as that leaves less."""
+    copies, n = list(copies), len(sizes)
+
+    def room(i: int) -> int:
+        return most[i] - copies[i] if gap > 0 else copies[i]
+
+    def move(i: int, m: int) -> None:
+        nonlocal gap
+        m = m if gap > 0 else -m
+        copies[i] += m
+        gap -= m * sizes[i]
+
+    fitting = [i for i in range(n) if sizes[i] <= abs(gap)]
+    left, owed = sum(room(i) * sizes[i] for i in fitting), 0.0
+    for i in fitting:
+        free = room(i)
+        if free and gap:
+            owed += min(1.0, abs(gap) / left) * free
+            m = max(0, min(int(owed + 0.5), free, int(abs(gap) // sizes[i])))
+            owed -= m
+            left -= free * sizes[i]
+            move(i, m)
+    while gap:
+        for i in range(n):
+            m = min(int(abs(gap) // sizes[i]), room(i))
+            if m:
+                move(i, m)
+        able = [i for i in range(n) if room(i) > 0]
+        best = min(able, key=lambda i: abs(abs(gap) - sizes[i]), default=None)
+        if best is None or abs(abs(gap) - sizes[best]) >= abs(gap):
+            break
+        move(best, 1)
+    return copies
+
+
+def class_copies(classes: DataFrame, dual: DataFrame, goal: DataFrame, cap: int = CAP) -> DataFrame:
     """(sid, size, n, copies): how many copies each class of equal documents gets in all."""
     rate = (F.when(F.col("full"), F.lit(float(cap)))
             .otherwise(F.least(F.lit(float(cap)), F.exp(F.col("lam") * F.col("size") / F.col("scale")))))
@@ -98,22 +139,18 @@ def class_copies(classes: DataFrame, dual: DataFrame, goal: DataFrame, cap: int
     step = W.partitionBy("sid").orderBy("size")
     rounded = (rated.withColumn("_u", run).withColumn("copies", F.col("_u") - F.coalesce(F.lag("_u").over(step), F.lit(0)))
                .withColumn("copies", F.greatest(F.lit(0), F.least("copies", cap * F.col("n"))).cast("bigint"))
-               .select("sid", "size", "n", "copies"))
-    state = materialize(rounded, "copies")
-    for _ in range(passes):
-        gap = (state.groupBy("sid").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
-               .join(goal.select("sid", "target"), "sid").withColumn("gap", F.col("target") - F.col("taken")))
-        gaps = state.join(gap.select("sid", "gap"), "sid").where("size > 0")
-        # the move that leaves least: one copy more or less of the class whose size is nearest the gap
-        able = gaps.where(f"(gap > 0 and copies < {cap} * n) or (gap < 0 and copies > 0)").withColumn(
-            "rest", F.abs(F.abs("gap") - F.col("size"))).where("rest < abs(gap)")
-        move = able.groupBy("sid").agg(F.min(F.struct("rest", "size")).alias("m"), F.first("gap").alias("gap")).select(
-            "sid", F.col("m.size").alias("size"), F.signum("gap").cast("bigint").alias("move"))
-        if move.isEmpty():
-            break
-        state = materialize(state.join(move, ["sid", "size"], "left").select(
-            "sid", "size", "n", (F.col("copies") + F.coalesce("move", F.lit(0))).alias("copies")), "copies")
-    return state
+               .join(goal.select("sid", "target"), "sid").select("sid", "size", "n", "copies", "target"))
+
+    def repair(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("size", ascending=False, ignore_index=True)
+        k = int((pdf["size"] > 0).sum())
+        size, own = pdf["size"].tolist(), pdf["copies"].tolist()
+        gap = float(pdf["target"].iloc[0]) - sum(a * b for a, b in zip(size, own))
+        pdf["copies"] = _close_gap(size[:k], own[:k], [cap * n for n in pdf["n"].tolist()[:k]], gap) + own[k:]
+        return pdf[["sid", "size", "n", "copies"]]
+
+    # one row for each distinct size of a source
+    return materialize(rounded.groupBy("sid").applyInPandas(repair, "sid long, size long, n long, copies long"), "copies")
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: int = CAP) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from linkrec.llm.mixing import mix, mixed_documents, take
+from linkrec.llm.mixing import _close_gap, mix, mixed_documents, take
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -51,3 +51,33 @@ def test_mix_meets_targets(spark):
     n = {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert n == {i: c for i, c in copies.items() if c}
     assert mixed_documents(df.limit(0)).count() == 0
+
+
+def test_few_long_documents_among_short_ones(spark):
+    rng = random.Random(7)
+    rows = [(i, "w " * rng.randrange(20, 401), "en", "a", 0) for i in range(2000)] + [(5000, "w " * 300_000, "en", "a", 0)]
+    rows += [(10_000 + i, "w " * 10, "en", "b", 0) for i in range(10_000)] + [(30_000, "w " * 100_000, "en", "b", 0)]
+    rows += [(40_000 + i, "w " * 50, "en", "c", 0) for i in range(4000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    of, target, taken, least = {r[0]: r[3] for r in rows}, {}, {}, {"a": 20, "b": 10, "c": 50}
+    for r in mixed_documents(df).collect():
+        s = of[r.doc_id]
+        target[s], taken[s] = r.target, taken.get(s, 0) + r.taken
+        assert r.taken <= 2 * r.size
+    assert all(abs(taken[s] - target[s]) <= least[s] / 2 + 1e-6 for s in target), (taken, target)
+
+
+def test_gap_is_closed_from_any_start():
+    rng = random.Random(11)
+    for _ in range(400):
+        sizes = sorted(rng.sample(range(1, 60), rng.randrange(1, 8)) + rng.choices([1000, 7000], k=rng.randrange(2)), reverse=True)
+        n = [rng.randrange(1, 40) for _ in sizes]
+        copies = [rng.randrange(2 * k + 1) for k in n]
+        gap = rng.choice([rng.uniform(-3000, 3000), 0.0, float(rng.randrange(-500, 500))])
+        got = _close_gap(sizes, copies, [2 * k for k in n], gap)
+        rest = gap - sum((b - a) * s for a, b, s in zip(copies, got, sizes))
+        assert all(0 <= c <= 2 * k for c, k in zip(got, n)) and abs(rest) <= abs(gap)
+        free = [s for s, c, k in zip(sizes, got, n) if (c < 2 * k if rest > 0 else c > 0)]
+        assert not rest or not free or abs(rest) <= min(free) / 2 + 1e-9
+    spread = _close_gap([10, 9, 8, 7], [100] * 4, [200] * 4, 340.0)
+    assert all(105 <= c <= 115 for c in spread)

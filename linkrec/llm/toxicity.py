@@ -1,14 +1,14 @@
 """Toxicity scores from a lexicon trie crossed with Levenshtein automata.
 
-The lexicon is learned from a bounded sample of labelled texts: words that hold
-a fair share of the toxic texts and hardly any clean ones.  Every distinct
+The lexicon is learned from all labelled texts of the training rows: words of any length, common or
+rare, that toxic texts hold far more often than chance would have it, and clean ones hardly.  Every distinct
 token is matched by walking the lexicon's trie with the rows of a Levenshtein
 automaton of distance 1 (terms of five letters or more; first letters agree),
 after undoing digit and sign disguises, so misspelled terms are caught; sample
 words near a term that occur in clean texts are not taken for it.  Each hit is
 looked at in a window of words: inside quotation marks or after a reporting
 word it counts as quoted, near a second person as direct.  A logistic
-regression over those counts, fitted to the sample, gives the score.
+regression over those counts, fitted to a bounded sample of the labelled texts, gives the score.
 
 Edge cases: null and empty texts have no hits and get the score of such texts;
 without labelled texts of both kinds every score is the prior of 0 hits.
@@ -155,39 +155,58 @@ def _term_counts(batches):
         seen: dict[str, list[int]] = {}
         for text, y in zip(pdf["text"], pdf["toxic"]):
             for w in {plain(t) for t in set((text or "").split())}:
-                if 4 <= len(w) <= 24:
+                if w:
                     seen.setdefault(w, [0, 0])[y] += 1
         yield pd.DataFrame([(w, c[0], c[1]) for w, c in seen.items()], columns=["term", "clean", "toxic"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, share: float = 0.08,
+def _evidence(toxic: Column, clean: Column, base: float) -> Column:
+    """-log of the Chernoff bound on a term's chance to be in so many toxic texts, if it were
+    spread over the texts at random; `base` is the share of toxic texts."""
+    n = toxic + clean
+    return toxic * F.log(toxic / n / base) + F.when(clean > 0, clean * F.log(clean / n / (1 - base))).otherwise(0.0)
+
+
+def _near_terms(terms: list[str]):
+    def run(batches):
+        trie = Trie(terms)
+        for pdf in batches:
+            yield pdf[[t not in trie.exact and trie.match(t) is not None for t in pdf["term"]]]
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chance: float = 0.01,
         precision: float = 0.8) -> dict:
-    """The model: lexicon, near words that are no terms, weights.  `share`: of the toxic
-    sample texts that a term must be in; `precision`: of its texts that must be toxic."""
+    """The model: lexicon, near words that are no terms, weights.  `chance`: of any term at all being
+    in the lexicon by chance; `precision`: of its texts that must be toxic."""
     small_batches(docs.sparkSession)
-    known = (labels.where("doc_id is not null and toxic in (0, 1)").where(train_rows(F.col("doc_id")))
-             .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-             .orderBy(hash52("doc_id"), "doc_id").limit(rows))
-    sample = materialize(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic"),
+    known = materialize(labels.where("doc_id is not null and toxic in (0, 1)").where(train_rows(F.col("doc_id")))
+                        .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")), "known")
+    some = known.orderBy(hash52("doc_id"), "doc_id").limit(rows)
+    sample = materialize(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic"),
                          "labelled")
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     model = {"terms": [], "not_terms": [], "weights": [float(np.log((n.get(1, 0) + 0.5) / (n.get(0, 0) + 0.5)))] + [0.0] * 6}
     if not n.get(0) or not n.get(1):
         return model
-    counts = materialize(sample.dropDuplicates(["text"]).mapInPandas(_term_counts, "term string, clean long, toxic long")
+    # equal texts count once, with the label of their smallest doc_id
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"), F.length("text").alias("_l"))
+    once = materialize(keyed.drop("text").where("_l > 0").join(known, "doc_id").groupBy("_h", "_l").agg(
+        F.min(F.struct("doc_id", "toxic")).alias("m")).select("_h", "_l", "m.doc_id", "m.toxic"), "distinct_texts")
+    texts = keyed.join(once, ["doc_id", "_h", "_l"]).dropDuplicates(["doc_id", "_h", "_l"]).select("text", "toxic")
+    counts = materialize(texts.mapInPandas(_term_counts, "term string, clean long, toxic long")
                          .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "terms")
-    distinct_toxic = sample.where("toxic = 1").select(F.count_distinct("text")).first()[0]
+    base, n_terms = once.select(F.avg("toxic")).first()[0], counts.count()
+    if not base or base == 1:
+        return model
     lexicon = sorted(r["term"] for r in counts.where(
-        (F.col("toxic") >= max(3, share * distinct_toxic))
-        & (F.col("toxic") >= precision * (F.col("toxic") + F.col("clean")))).select("term").collect())
+        (F.col("toxic") >= precision * (F.col("toxic") + F.col("clean"))) & (F.col("toxic") > base * (F.col("toxic") + F.col("clean")))
+        & (_evidence(F.col("toxic"), F.col("clean"), base) >= float(np.log(n_terms / chance)))).select("term").collect())
     if not lexicon:
         return model
-    near = F.lit(False)
-    for t in lexicon:
-        near = near | (F.levenshtein("term", F.lit(t)) == 1)
+    innocent = counts.where((F.col("clean") >= 2) & (F.col("clean") >= F.col("toxic"))).select("term")
     model |= {"terms": lexicon, "not_terms": sorted(
-        r["term"] for r in counts.where(near & (F.col("clean") >= 2) & (F.col("clean") >= F.col("toxic")))
-        .select("term").collect())}
+        r["term"] for r in innocent.mapInPandas(_near_terms(lexicon), "term string").collect())}
     seen = sample.select("toxic", _feature_udf(model)(F.col("text")).alias("x")).toPandas()
     model["weights"] = _logistic(np.stack(seen["x"].to_numpy()), seen["toxic"].to_numpy(float))
     return model

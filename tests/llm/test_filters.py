@@ -110,3 +110,21 @@ def test_toxicity_learns_and_holds_out(spark):
     assert got[900].predicted == got[901].predicted == 0 and got[902].score > got[901].score and got[None].predicted == 1
     blank = fit(df, lab.limit(0))
     assert score(df.limit(0), blank).count() == 0
+
+
+def test_toxicity_learns_a_long_tail(spark):
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    terms = ["zqx"] + ["".join(rng.choices(letters, k=rng.randrange(8, 13))) for _ in range(99)]
+    words = ["".join(rng.choices(letters[:12], k=6)) for _ in range(400)]
+    share = [0.02] + [rng.uniform(0.012, 0.03) for _ in terms[1:]]
+    rows, labels = [], []
+    for i in range(6000):
+        held = [t for t, p in zip(terms, share) if rng.random() < p] or [rng.choice(terms)]
+        rows.append((i, " ".join(rng.sample([*rng.choices(words, k=25), *(held if i % 4 == 0 else [])], k=25))))
+        labels.append((i, 1, int(i % 4 == 0)))
+    df, lab = docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = fit(df, lab)
+    assert not set(model["terms"]) & set(words) and len(set(model["terms"]) & set(terms)) >= 95 and "zqx" in model["terms"]
+    got = score(docs(spark, [(i, f"well {t} indeed") for i, t in enumerate(model["terms"])] + [(900, "well now indeed")]), model)
+    assert {r.doc_id for r in got.collect() if r.score < 0.5} == {900}

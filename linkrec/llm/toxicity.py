@@ -2,9 +2,9 @@
 
 The lexicon is learned from all labelled texts of the training rows: words of any length, common or
 rare, that toxic texts hold far more often than chance would have it, and clean ones hardly.  Every distinct
-token is matched by walking the lexicon's trie with the rows of a Levenshtein
-automaton of distance 1 (terms of five letters or more; first letters agree),
-after undoing digit and sign disguises, so misspelled terms are caught; sample
+token is matched by walking the lexicon's trie with a Levenshtein automaton that counts
+two swapped letters as one edit, of distance 1 (terms of four letters or more) or 2 (eight or more),
+after undoing digit and sign disguises, so misspelled terms are caught; training
 words near a term that occur in clean texts are not taken for it.  Each hit is
 looked at in a window of words: inside quotation marks or after a reporting
 word it counts as quoted, near a second person as direct.  A logistic
@@ -36,50 +36,114 @@ SECOND = {"you", "your", "you're", "youre", "u", "ur"}
 QUOTES = "\"“”„«»"
 WINDOW = 4
 CACHE = 300_000
+#: States of the automaton that are kept before it is built anew, a bound on memory.
+STATES = 50_000
+#: Misspellings that the operator looks for: in any letter, in terms of at least so many letters.
+NEAR = {"first": False, "least": 4}
 
 
 class Trie:
-    """Lexicon trie; `match` walks it with Levenshtein rows and drops dead branches."""
+    """Lexicon trie x Levenshtein automaton, made deterministic as words ask for it: a state is the set of
+    (node, edits, letter that must follow) a word's beginning can be at, its steps are kept.
 
-    def __init__(self, terms, not_terms=()):
-        self.root: dict = {}
+    `first`: the first letters must agree; `least`: letters of a term that may be misspelled."""
+
+    def __init__(self, terms, not_terms=(), first: bool = True, least: int = 5):
+        self.first, self.least = first, least
         self.exact, self.not_terms = set(terms), set(not_terms)
-        for t in terms:
-            node = self.root
+        self.letters = {c for t in terms for c in t}
+        # nodes: children, term that ends here, most edits of any term below
+        self.child, self.term, self.most = [{}], [None], [0]
+        for t in sorted(self.exact):
+            at, edits = 0, self.edits(t)
+            self.most[0] = max(self.most[0], edits)
             for c in t:
-                node = node.setdefault(c, {})
-            node[""] = t
-        lengths = [len(t) for t in terms] or [0]
-        self.low, self.high = min(lengths) - 1, max(lengths) + 1
+                if c not in self.child[at]:
+                    self.child[at][c] = len(self.child)
+                    self.child.append({})
+                    self.term.append(None)
+                    self.most.append(0)
+                at = self.child[at][c]
+                self.most[at] = max(self.most[at], edits)
+            self.term[at] = t
+        self.low = min((len(t) - self.edits(t) for t in terms), default=1)
+        self.high = max((len(t) + self.edits(t) for t in terms), default=0)
+        self._forget()
+
+    def edits(self, term: str) -> int:
+        return 0 if len(term) < self.least else 2 if len(term) >= 8 else 1
+
+    def _forget(self) -> None:
+        self.ids, self.states, self.steps, self.starts = {}, [], [], {}
+
+    def _state(self, items: dict) -> int | None:
+        """The id of the state of `items`, (node, letter) -> edits, and all that letters left out lead to."""
+        todo = list(items.items())
+        while todo:
+            (node, letter), e = todo.pop()
+            if letter or items[node, letter] < e:
+                continue
+            for nxt in self.child[node].values():
+                if e + 1 <= self.most[nxt] and items.get((nxt, ""), 9) > e + 1:
+                    items[nxt, ""] = e + 1
+                    todo.append(((nxt, ""), e + 1))
+        if not items:
+            return None
+        key = frozenset(items.items())
+        if key not in self.ids:
+            self.ids[key] = len(self.states)
+            self.states.append(items)
+            self.steps.append({})
+        return self.ids[key]
+
+    def _step(self, state: int, c: str) -> int | None:
+        out: dict = {}
+
+        def add(node, letter, e):
+            if e <= self.most[node] and out.get((node, letter), 9) > e:
+                out[node, letter] = e
+        for (node, letter), e in self.states[state].items():
+            if letter:
+                if letter == c:
+                    add(node, "", e)
+                continue
+            add(node, "", e + 1)                                         # a letter too many
+            for x, nxt in self.child[node].items():
+                add(nxt, "", e + (x != c))
+                if x != c and c in self.child[nxt]:                      # the term has x c, the word c x
+                    add(self.child[nxt][c], x, e + 1)
+        return self._state(out)
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """The nearest term and its distance, 0 or 1."""
+        """The nearest term and its distance, 0 to 2."""
         if word in self.exact:
             return word, 0
-        # first letters agree, so the walk starts below the word's first letter
-        start = self.root.get(word[:1])
-        if start is None or word in self.not_terms or not self.low <= len(word) <= self.high:
+        if word in self.not_terms or not self.low <= len(word) <= self.high:
+            return None
+        if len(self.states) > STATES:
+            self._forget()
+        rest = word[1:] if self.first else word
+        start = word[:1] if self.first else ""
+        if start not in self.starts:
+            node = self.child[0].get(start) if self.first else 0
+            self.starts[start] = None if node is None else self._state({(node, ""): 0})
+        state = self.starts[start]
+        for c in rest:
+            if state is None:
+                return None
+            c = c if c in self.letters else "\0"
+            steps = self.steps[state]
+            if c not in steps:
+                steps[c] = self._step(state, c)
+            state = steps[c]
+        if state is None:
             return None
-        n = len(word)
-        # of a row of distances only three cells can hold 0 or 1: depth - 1, depth and depth + 1 letters of the word
-        stack = [(start, 1, 1, 0, 1 if n > 1 else 2)]
-        while stack:
-            node, depth, low, mid, high = stack.pop()
-            term = node.get("")
-            if term is not None and len(term) >= 5:
-                last = n - depth
-                found = mid if last == 0 else low if last == -1 else high if last == 1 else 2
-                if found <= 1:
-                    return term, found
-            for c, nxt in node.items():
-                if c == "":
-                    continue
-                new_low = min(low + (word[depth - 1:depth] != c), mid + 1)
-                new_mid = min(mid + (word[depth] != c), high + 1, new_low + 1) if depth < n else 2
-                new_high = min(high + (word[depth + 1] != c), new_mid + 1) if depth + 1 < n else 2
-                if new_low <= 1 or new_mid <= 1 or new_high <= 1:
-                    stack.append((nxt, depth + 1, new_low, new_mid, new_high))
-        return None
+        found = [(e, self.term[node]) for (node, letter), e in self.states[state].items()
+                 if not letter and self.term[node] is not None and e <= self.edits(self.term[node])]
+        if not found:
+            return None
+        e, term = min(found)
+        return term, e
 
 
 _STRIP, _TAIL = re.compile(r"^[\W_]+|[\W_]+$"), re.compile(r"[\W_]+$")
@@ -167,9 +231,20 @@ def _evidence(toxic: Column, clean: Column, base: float) -> Column:
     return toxic * F.log(toxic / n / base) + F.when(clean > 0, clean * F.log(clean / n / (1 - base))).otherwise(0.0)
 
 
+def _signature(text: Column) -> Column:
+    """MinHash of the text's runs of three words: near copies agree but for their Jaccard distance."""
+    def least(w: Column) -> Column:
+        n = F.size(w) - 2
+        pairs = F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), lambda a, b: F.struct(a, b))
+        return F.array_min(F.zip_with(pairs, F.slice(w, F.lit(3), n), lambda p, c: F.xxhash64(p, c)))
+    # the one-element array has the text cut once, not once a use
+    return F.get(F.transform(F.array(F.split(text, r"\s+")), lambda w: F.when(
+        F.size(w) > 2, least(w)).otherwise(F.xxhash64(text))), F.lit(0))
+
+
 def _near_terms(terms: list[str]):
     def run(batches):
-        trie = Trie(terms)
+        trie = Trie(terms, **NEAR)
         for pdf in batches:
             yield pdf[[t not in trie.exact and trie.match(t) is not None for t in pdf["term"]]]
     return run
@@ -189,10 +264,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chance: flo
     model = {"terms": [], "not_terms": [], "weights": [float(np.log((n.get(1, 0) + 0.5) / (n.get(0, 0) + 0.5)))] + [0.0] * 6}
     if not n.get(0) or not n.get(1):
         return model
-    # equal texts count once, with the label of their smallest doc_id
+    # near copies are no evidence of their own: texts of a label with the same signature count once
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"), F.length("text").alias("_l"))
-    once = materialize(keyed.drop("text").where("_l > 0").join(known, "doc_id").groupBy("_h", "_l").agg(
-        F.min(F.struct("doc_id", "toxic")).alias("m")).select("_h", "_l", "m.doc_id", "m.toxic"), "distinct_texts")
+    once = materialize(keyed.where("_l > 0").join(known, "doc_id")
+                       .groupBy(_signature(F.col("text")).alias("_s"), "toxic")
+                       .agg(F.min(F.struct("doc_id", "_h", "_l")).alias("m")).select("m.*", "toxic"), "distinct_texts")
     texts = keyed.join(once, ["doc_id", "_h", "_l"]).dropDuplicates(["doc_id", "_h", "_l"]).select("text", "toxic")
     counts = materialize(texts.mapInPandas(_term_counts, "term string, clean long, toxic long")
                          .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "terms")
@@ -229,7 +305,7 @@ def _feature_udf(model: dict):
     """An iterator UDF: one trie and one token cache for all batches of a task."""
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = Tokens(Trie(model["terms"], model["not_terms"]))
+        known = Tokens(Trie(model["terms"], model["not_terms"], **NEAR))
         for text in batches:
             yield pd.Series([features(t, known) for t in text])
     return run
@@ -238,7 +314,7 @@ def _feature_udf(model: dict):
 def _scorer(model: dict):
     @F.pandas_udf(T.DoubleType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = Tokens(Trie(model["terms"], model["not_terms"]))
+        known = Tokens(Trie(model["terms"], model["not_terms"], **NEAR))
         w = np.array(model["weights"])
         for text in batches:
             z = np.array([w[0] + features(t, known) @ w[1:] for t in text])

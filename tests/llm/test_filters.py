@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from linkrec.llm.decontam import clean, contaminated
 from linkrec.llm.licenses import TEMPLATES, scan_licenses
 from linkrec.llm.line_dedup import line_report
-from linkrec.llm.toxicity import Tokens, Trie, features, fit, plain, score, toxicity
+from linkrec.llm.toxicity import NEAR, Tokens, Trie, features, fit, plain, score, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -93,6 +93,30 @@ def test_automaton_and_context():
     assert not features(None, Tokens(trie)).any() and not features("fine words", Tokens(trie)).any()
 
 
+def test_automaton_against_brute_force():
+    def distance(a, b):
+        d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+        return d[-1][-1]
+    terms = ["idiot", "moron", "scum", "zqx", "blorgous", "imbecilic", "aabbaabb", "abab"]
+    trie = Trie(terms, ["slum"], **NEAR)
+    assert [trie.match(w) for w in ("jdiot", "diot", "idoit", "xmoron", "scam", "imebcilci", "zqy", "slum")] == [
+        ("idiot", 1), ("idiot", 1), ("idiot", 1), ("moron", 1), ("scum", 1), ("imbecilic", 2), None, None]
+    rng = random.Random(9)
+    for _ in range(4000):
+        w = list(rng.choice(terms))
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(w) + 1)
+            w[k:k + rng.randrange(3)] = rng.choices("abcdiotmx", k=rng.randrange(3)) if rng.random() < 0.6 else w[k:k + 2][::-1]
+        w = "".join(w)
+        near = [(distance(w, t), t) for t in terms if distance(w, t) <= (2 if len(t) >= 8 else 1 if len(t) >= 4 else 0)]
+        assert trie.match(w) == (min(near)[::-1] if near and w != "slum" else None), w
+
+
 def test_toxicity_learns_and_holds_out(spark):
     rng = random.Random(1)
     words = [f"word{i}x" for i in range(60)]
@@ -124,7 +148,12 @@ def test_toxicity_learns_a_long_tail(spark):
         rows.append((i, " ".join(rng.sample([*rng.choices(words, k=25), *(held if i % 4 == 0 else [])], k=25))))
         labels.append((i, 1, int(i % 4 == 0)))
     df, lab = docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    copies = " ".join(f"unhappy{k}word" for k in range(200))
+    extra = [(10_000 + i, copies.replace(f"unhappy{i}word", "other")) for i in range(40)]
+    df = df.union(docs(spark, extra))
+    lab = lab.union(spark.createDataFrame([(i, 1, 1) for i, _ in extra], lab.schema))
     model = fit(df, lab)
+    assert not any(t.startswith("unhappy") for t in model["terms"])
     assert not set(model["terms"]) & set(words) and len(set(model["terms"]) & set(terms)) >= 95 and "zqx" in model["terms"]
     got = score(docs(spark, [(i, f"well {t} indeed") for i, t in enumerate(model["terms"])] + [(900, "well now indeed")]), model)
     assert {r.doc_id for r in got.collect() if r.score < 0.5} == {900}

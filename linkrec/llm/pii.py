@@ -93,16 +93,22 @@ _DOT = r"(?:\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+dot\s+)"
 _HARD_AT = r"(?:\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+@\s+)"
 #: "x at y dot z", or brackets around at or dot, beside names on both sides.
 _MAIL = re.compile(rf"{_NAME}(?:{_DOT}[A-Za-z0-9-]+)*(?:{_AT}[A-Za-z0-9-]+(?:(?:{_DOT}|\.)[A-Za-z0-9-]+)*{_DOT}[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"
-                   rf"|{_HARD_AT}[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:{_DOT}[A-Za-z0-9-]+)+)",
+                   rf"|{_HARD_AT}[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|\s+at\s+(?:[A-Za-z0-9-]+\.)+[A-Za-z]{{2,}}(?![A-Za-z0-9.-]*[0-9])|@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:{_DOT}[A-Za-z0-9-]+)+)",
                    re.IGNORECASE)
 _AT_SIGN, _DOT_SIGN = re.compile(_AT, re.I), re.compile(_DOT, re.I)
-#: Seven or more digits, at least three of them spelled, with at most a few signs between.
+#: Words that stand before "at" and the plain name of a site, not of a person's host.
+NO_NAMES = set("look looked looking available found find see seen visit visited hosted online us me it them here is are "
+               "was were be been and or read more site page website order buy shop live based located published "
+               "posted work works worked working information details".split())
+_SITE = re.compile(r"(\S+)\s+at\s+[^@\s\[({<]+", re.I)
+#: Digits, at least one of them spelled, with at most a few signs between; the finders judge the rewritten number.
 _UNIT = rf"(?:(?:{_WORD})(?![A-Za-z])|[0-9]+)"
-_NUMBER = re.compile(rf"(?<![A-Za-z])(?:(?:plus\s+|\+\s*)?{_UNIT}(?:[\s,.()-]{{0,3}}(?:dot\s+|point\s+|dash\s+)?{_UNIT}){{3,}})", re.I)
+_NUMBER = re.compile(rf"(?<![A-Za-z])(?:(?:plus\s+|\+\s*)?{_UNIT}(?:[\s,.()-]{{0,3}}(?:dot\s+|point\s+|dash\s+)?{_UNIT})+)", re.I)
 _DIGIT_WORD = re.compile(rf"(?<![A-Za-z])(?:{_WORD}|plus|dot|point|dash)(?![A-Za-z])", re.I)
 _CHARS = re.compile("[" + re.escape("".join(LOOKALIKES) + INVISIBLE) + "]")
-_HINT = re.compile(rf"(?<![A-Za-z])dot(?![A-Za-z])|[\[({{<]\s*(?:[@.]|at)\s*[\])}}>]|\s@\s"
-                   rf"|(?<![A-Za-z])(?:{_WORD})[\s,.-]{{1,3}}(?:{_WORD})(?![A-Za-z])", re.I)
+#: What every match of _MAIL and of a _NUMBER with a spelled digit holds.
+_MAIL_HINT = re.compile(r"\sdot\s|[\[({<]\s*(?:[@.]|at|dot)\s*[\])}>]|\s@\s|\sat\s+[A-Za-z0-9-]+\.[A-Za-z0-9]", re.I)
+_NUMBER_HINT = re.compile(rf"(?<![A-Za-z])(?:{_WORD})(?![A-Za-z])", re.I)
 
 
 class Rewrite:
@@ -136,13 +142,16 @@ def _characters(t: str) -> list[tuple[int, int, str]]:
 
 def _disguises(t: str) -> list[tuple[int, int, str]]:
     out: list[tuple[int, int, str]] = []
-    for m in _MAIL.finditer(t):
+    for m in _MAIL.finditer(t) if _MAIL_HINT.search(t) else ():
+        site = _SITE.fullmatch(m[0])
+        if site and site[1].lower() in NO_NAMES:
+            continue
         for sign, rx in (("@", _AT_SIGN), (".", _DOT_SIGN)):
             out += [(x.start(), x.end(), sign) for x in rx.finditer(t, m.start(), m.end())]
     taken = [(s, e) for s, e, _ in out]
-    for m in _NUMBER.finditer(t):
+    for m in _NUMBER.finditer(t) if _NUMBER_HINT.search(t) else ():
         spelled = list(_DIGIT_WORD.finditer(t, m.start(), m.end()))
-        if sum(x[0].lower() in SPELLED for x in spelled) < 3 or any(s < m.end() and e > m.start() for s, e in taken):
+        if not any(x[0].lower() in SPELLED for x in spelled) or any(s < m.end() and e > m.start() for s, e in taken):
             continue
         for k, x in enumerate(spelled):
             word, s, e = x[0].lower(), x.start(), x.end()
@@ -178,11 +187,10 @@ def find_all(text: str | None) -> tuple[dict, dict]:
         if edits:
             steps.append(Rewrite(now, edits))
             now = steps[-1].text
-    if _HINT.search(now):
-        edits = _disguises(now)
-        if edits:
-            steps.append(Rewrite(now, edits))
-            now = steps[-1].text
+    edits = _disguises(now)
+    if edits:
+        steps.append(Rewrite(now, edits))
+        now = steps[-1].text
     if not steps:
         return base, added
     for kind, finder in FINDERS.items():

@@ -50,6 +50,20 @@ def test_disguises_map_back_to_source():
         ("phone", "plus one two one two five five five zero one two three")}
 
 
+def test_each_disguise_alone():
+    phone = ["+four 1 five 5 five 5 zero 1 two 3", "plus one dash five dash five dash five dash zero dash one dash two dash three dash four",
+             "+1 (two) 2 5 5 5 0 1 2 3", "+1 212 five 55 0123", "+1212 five 550123"]
+    for x in phone:
+        assert added(f"call {x}; now") == {("phone", x)}, x
+    for x in ("jane.doe at host.org", "name at host.org", "jane [at] host.org", "jane@host dot org", "jane @ host.org",
+              "jane at host dot org", "jane@host (dot) org"):
+        assert added(f"please: {x} now") == {("email", x)}, x
+    assert added("ip 10.0.0 dot seven") == {("ip", "10.0.0 dot seven")}
+    assert added("card 4111 1111 1111 111 one.") == {("card", "4111 1111 1111 111 one")}
+    for x in ("Look at example.com or it is available at example.org.", "We met at 10.30 with 2 or three men.", "one of 12 at 3.5 km"):
+        assert not added(x), x
+
+
 def test_clean_text_gains_nothing():
     for t in ("Meet me at noon. The dot on the map is at one of two places.", "one two three four", "a @ b", "",
               "The price at the shop was 3.50 at two or three stores, at least.", "Москва 12.5 и 13", None):

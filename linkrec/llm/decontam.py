@@ -7,11 +7,13 @@ item if it has `coverage` of the item's distinct windows.  For items with
 placeholders the documents' values must then fit, in one stretch of the document that
 has the coverage: a value of the item is replaced by the same value throughout,
 in `coverage` of its matched places.  Any one stretch that fits is enough, so
-siblings of the same template beside a copy do not hide it.
+siblings of the same template beside a copy do not hide it.  Texts are read in three
+modes, any of which is enough: with the names inside sentences as placeholders, with
+the same names at sentence starts too, and literally in lower case, where values need not be typed.
 So verbatim copies and re-parameterised ones are caught, chance templates are not.
 
 Edge cases: null and empty texts hold and match nothing; texts shorter than a
-window are one padded window; a row is known by doc_id and text, so repeated
+window are one padded window, and such items are also looked for literally inside longer texts; a row is known by doc_id and text, so repeated
 doc_ids and null ones stay apart; an empty benchmark gives no rows.
 """
 
@@ -28,17 +30,38 @@ UNITS = ["mm", "cm", "km", "mg", "kg", "ml", "meter", "meters", "metre", "metres
          "foot", "feet", "gram", "grams", "pound", "pounds", "litre", "litres", "liter", "liters", "second", "seconds",
          "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years",
          "percent", "dollar", "dollars", "euro", "euros", "cent", "cents"]
+#: Marks, private characters: a name; another capitalised word that is a name elsewhere in the text.
 NAME = ""
+START = "\ue001"
 WINDOW, COVERAGE = 5, 0.8
 #: Most benchmark windows that are broadcast (24 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case words; names carry a mark in front; 1,000 and 2.5 are one number."""
+def _marked(text: Column) -> Column:
+    """Lower-case words, 1,000 and 2.5 as one number; names carry a mark in front, and other capitalised
+    words that are a name elsewhere in the text another one."""
     t = F.regexp_replace(text, r"(?<=\d)[.,](?=\d)", "")
     t = F.regexp_replace(t, r"(?<=[\p{Ll},;] )(\p{Lu}\p{Ll}+)", NAME + "$1")
-    return F.filter(F.split(F.lower(t), rf"[^\p{{L}}\p{{N}}{NAME}]+"), lambda x: x != "")
+    t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{N}}{NAME}])(\p{{Lu}}\p{{Ll}}+)", START + "$1")
+    words = F.filter(F.split(F.lower(t), rf"[^\p{{L}}\p{{N}}{NAME}{START}]+"), lambda x: x != "")
+    both = F.transform(F.array(words), lambda ws: F.struct(
+        ws.alias("ws"), F.array_distinct(F.filter(ws, lambda x: x.startswith(NAME))).alias("names")))
+    return F.get(F.transform(both, lambda b: F.transform(b["ws"], lambda x: F.when(
+        x.startswith(START) & ~F.array_contains(b["names"], F.concat(F.lit(NAME), F.substring(x, 2, 1000))),
+        F.substring(x, 2, 1000)).otherwise(x))), F.lit(0))
+
+
+def _form(token: Column, mode: str) -> Column:
+    """A marked token as read in a mode: "t" names inside sentences, "s" names at their starts too, "l" literally."""
+    if mode == "s":
+        return F.translate(token, START, NAME)
+    return F.translate(token, START if mode == "t" else NAME + START, "")
+
+
+def tokens(text: Column, mode: str = "t") -> Column:
+    """The words of a text in a mode; names carry a mark in front."""
+    return F.transform(_marked(text), lambda x: _form(x, mode))
 
 
 def kind(token: Column) -> Column:
@@ -47,49 +70,73 @@ def kind(token: Column) -> Column:
             .when(token.isin(UNITS), F.lit("#unit")))
 
 
-def windows(df: DataFrame, keys: list[str], w: int) -> DataFrame:
-    """(keys, pos, window): the 64-bit hash of every window of template tokens.
+def windows(df: DataFrame, keys: list[str], w: int, modes: str = "t") -> DataFrame:
+    """(keys, pos, window): the 64-bit hash of every window of template tokens, in each of the modes.
     The token hashes are zipped with themselves shifted, so that the windows are
     hashed in generated code, not element by element."""
-    hashed = (df.where(F.length("text") > 0)
-              .select(*keys, F.transform(tokens(F.col("text")), lambda t: F.xxhash64(F.coalesce(kind(t), t))).alias("h"))
-              .where(F.size("h") > 0)
-              .select(*keys, F.concat("h", F.array_repeat(F.lit(0).cast("bigint"), w - F.size("h"))).alias("h")))
-    n = F.size("h") - (w - 1)
-    zipped = F.arrays_zip(*[F.slice("h", F.lit(i + 1), n).alias(f"t{i}") for i in range(w)])
-    cols = [f"t{i}" for i in range(w)]
-    return (hashed.select(*keys, F.posexplode(zipped).alias("pos", "z"))
-            .select(*keys, "pos", F.xxhash64(*[F.col("z")[c] for c in cols]).alias("window")))
+    def hashes(mode: str) -> Column:
+        def one(x: Column) -> Column:
+            t = _form(x, mode)
+            return F.xxhash64(t if mode == "l" else F.coalesce(kind(t), t))
+        return F.transform("m", one)
+    pad = F.array_repeat(F.lit(0).cast("bigint"), w - F.size("m"))
+    hashed = (df.where(F.length("text") > 0).select(*keys, _marked(F.col("text")).alias("m")).where(F.size("m") > 0)
+              .select(*keys, *[F.concat(hashes(mode), pad).alias(mode) for mode in modes]))
+    n = F.size(modes[0]) - (w - 1)
+    cols = {mode: [f"{mode}{i}" for i in range(w)] for mode in modes}
+    zipped = F.arrays_zip(*[F.slice(mode, F.lit(i + 1), n).alias(c) for mode in modes for i, c in enumerate(cols[mode])])
+    at = hashed.select(*keys, F.posexplode(zipped).alias("pos", "z"))
+    found = [F.xxhash64(*[F.col("z")[c] for c in cols[mode]]) for mode in modes]
+    if len(modes) == 1:
+        return at.select(*keys, "pos", found[0].alias("window"))
+    return at.select(*keys, "pos", F.explode(F.array_distinct(F.array(*found))).alias("window"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, w: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, row, item_id, n_windows, n_matched, coverage, n_slots, consistency), one row for
-    each document row (`row` is `row_key()` of its text) and item it holds."""
+    each document row (`row` is `row_key()` of its text) and item it holds, in the mode that fits best."""
     items = benchmark.select("item_id", "text")
-    bench = materialize(windows(items, ["item_id"], w), "benchmark_windows")
-    distinct = bench.select("item_id", "window").distinct()
-    total = distinct.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    side = F.broadcast(distinct) if distinct.count() <= BROADCAST_WINDOWS else distinct
+    read = _marked(F.col("text"))
+    typed = items.where(F.exists(read, lambda x: kind(_form(x, "s")).isNotNull()))     # the others read the same in all modes
+    started = items.where(F.exists(read, lambda x: x.startswith(START)))
+    bench = materialize(windows(items, ["item_id"], w).withColumn("mode", F.lit("t"))
+                        .unionByName(windows(typed, ["item_id"], w, "l").withColumn("mode", F.lit("l")))
+                        .unionByName(windows(started, ["item_id"], w, "s").withColumn("mode", F.lit("s"))), "benchmark_windows")
+    distinct = bench.select("item_id", "mode", "window").distinct()
+    total = distinct.groupBy("item_id", "mode").agg(F.count(F.lit(1)).alias("n_windows"))
     rows = docs.select(F.col("doc_id"), row_key().alias("row"), "text")
-    found = (windows(rows, ["doc_id", "row"], w).join(side, "window")
-             .groupBy("doc_id", "row", "item_id").agg(F.count_distinct("window").alias("n_matched")))
-    held = (found.join(total, "item_id").withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
-            .where(F.col("coverage") >= coverage - 1e-9))
-    held = materialize(held.select("doc_id", "row", "item_id", "n_windows", "n_matched", "coverage"), "held")
-    slotted = (items.where(F.exists(tokens(F.col("text")), lambda t: kind(t).isNotNull())).select("item_id"))
-    open_ = held.join(slotted, "item_id", "left_semi")
-    fit = _best_stretch(open_, rows, items, w, coverage) if not open_.isEmpty() else None
-    if fit is None:
-        return held.withColumn("n_slots", F.lit(0).cast("bigint")).withColumn("consistency", F.lit(1.0))
-    plain = held.join(slotted, "item_id", "left_anti").withColumns(
-        {"n_slots": F.lit(0).cast("bigint"), "consistency": F.lit(1.0)})
-    return plain.select(*fit.columns).unionAll(fit)
-
-
-def _slots(df: DataFrame, keys: list[str], w: int) -> DataFrame:
+    modes = "".join(m for m in "tls" if m in {r["mode"] for r in bench.select("mode").distinct().collect()})
+
+    def matches(of: DataFrame, side: DataFrame) -> DataFrame:
+        side = F.broadcast(side) if side.count() <= BROADCAST_WINDOWS else side
+        return (of.join(side, "window").groupBy("doc_id", "row", "item_id", "mode")
+                .agg(F.count_distinct("window").alias("n_matched")))
+    found = matches(windows(rows, ["doc_id", "row"], w, modes or "t"), distinct).join(total, ["item_id", "mode"])
+    # items shorter than a window, literally, anywhere in a text
+    short = items.withColumn("n", F.size(_marked(F.col("text")))).where(F.col("n").between(1, w - 1))
+    for k in sorted(r["n"] for r in short.select("n").distinct().collect()):
+        own = windows(short.where(F.col("n") == k).select("item_id", "text"), ["item_id"], k, "l").select(
+            "item_id", F.lit("l").alias("mode"), "window").distinct()
+        found = found.unionByName(matches(windows(rows, ["doc_id", "row"], k, "l"), own)
+                                  .withColumn("n_windows", F.lit(1).cast("bigint")))
+    held = found.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where(F.col("coverage") >= coverage - 1e-9)
+    held = materialize(held.select("doc_id", "row", "item_id", "n_windows", "n_matched", "coverage", "mode"), "held")
+    slotted = typed.select("item_id")
+    fit = held.where("mode = 'l'").unionAll(held.where("mode = 't'").join(slotted, "item_id", "left_anti").select(*held.columns))
+    fit = fit.drop("mode").withColumns({"n_slots": F.lit(0).cast("bigint"), "consistency": F.lit(1.0)})
+    for mode in "ts":
+        open_ = held.where(F.col("mode") == mode).join(slotted, "item_id", "left_semi")
+        if not open_.isEmpty():
+            fit = fit.unionByName(_best_stretch(open_, rows, items, w, coverage, mode))
+    best = fit.groupBy("doc_id", "row", "item_id").agg(
+        F.max(F.struct("coverage", "consistency", "n_slots", "n_matched", "n_windows")).alias("b"))
+    return best.select("doc_id", "row", "item_id", "b.n_windows", "b.n_matched", "b.coverage", "b.n_slots", "b.consistency")
+
+
+def _slots(df: DataFrame, keys: list[str], w: int, mode: str) -> DataFrame:
     """(keys, pos, window, slots): every window with the (place, value) of its placeholders."""
-    toks = df.where(F.length("text") > 0).select(*keys, tokens(F.col("text")).alias("t")).where(F.size("t") > 0)
-    at = (windows(df, keys, w).join(
+    toks = df.where(F.length("text") > 0).select(*keys, tokens(F.col("text"), mode).alias("t")).where(F.size("t") > 0)
+    at = (windows(df, keys, w, mode).join(
         toks.select(*[F.col(k).alias(f"_{k}") for k in keys], "t"),
         [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(*[f"_{k}" for k in keys]))
     return at.select(*keys, "pos", "window", F.filter(F.transform(
@@ -108,7 +155,8 @@ def _stretches(start: Column, length: Column) -> Column:
     return F.concat(F.array(*one), ranges)
 
 
-def _best_stretch(open_: DataFrame, rows: DataFrame, items: DataFrame, w: int, coverage: float) -> DataFrame:
+def _best_stretch(open_: DataFrame, rows: DataFrame, items: DataFrame, w: int, coverage: float,
+                  mode: str) -> DataFrame:
     """`open_` with n_slots and consistency, and n_matched and coverage, of the best stretch that reaches
     `coverage` in both; rows without one are dropped.  A stretch takes the window matches whose starts (place
     in the document less place in the item) lie together, so a copy is judged without its siblings.
@@ -118,8 +166,8 @@ def _best_stretch(open_: DataFrame, rows: DataFrame, items: DataFrame, w: int, c
     wanted = open_.select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), F.col("item_id").alias("_i"),
                           "n_windows")
     of_docs = rows.join(wanted.select("_d", "_r").distinct(), cond(), "left_semi").distinct()
-    mine = _slots(of_docs, ["doc_id", "row"], w).withColumnRenamed("slots", "doc_slots")
-    theirs = _slots(items.join(wanted, F.col("item_id") == F.col("_i"), "left_semi"), ["item_id"], w).select(
+    mine = _slots(of_docs, ["doc_id", "row"], w, mode).withColumnRenamed("slots", "doc_slots")
+    theirs = _slots(items.join(wanted, F.col("item_id") == F.col("_i"), "left_semi"), ["item_id"], w, mode).select(
         "item_id", "window", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
     at = mine.join(theirs, "window").join(wanted, cond() & (F.col("item_id") == F.col("_i"))).select(
         *pair, "n_windows", "window", (F.col("pos") - F.col("item_pos")).cast("bigint").alias("start"), "item_slots", "doc_slots")

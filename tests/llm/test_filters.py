@@ -75,6 +75,18 @@ def test_decontamination_judges_each_occurrence(spark):
     assert {r.doc_id for r in clean(docs(spark, rows), bench).collect()} == {7, 8}
 
 
+def test_decontamination_reads_names_in_any_case(spark):
+    one = "Tom has 12 apples and gives Mary 4 of them. Mary eats 2 at once. Tom then asks Mary how many are left, and Mary tells Tom."
+    two = "Which river does the old stone bridge near the castle of Prague cross on its way?"
+    bench = spark.createDataFrame([(1, one), (2, two), (3, "Vltava or Moldau river?")], "item_id long, text string")
+    new = one.replace("Tom", "Anna").replace("Mary", "Peter")
+    rows = [(1, f"some words {one.lower()} more"), (2, f"SOME WORDS {one.upper()} MORE"), (3, f"Some words. {new} More."),
+            (4, two.lower()), (5, two.upper()), (6, "we crossed the vltava or moldau river at night and slept well"),
+            (7, "we crossed the river moldau or the vltava at night")]
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs(spark, rows), bench).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (6, 3)}
+
+
 def test_licenses(spark):
     rows = [(1, "foo\n\nReleased under the MIT license!\n\nbar"), (2, TEMPLATES["MIT"].replace(" to ", " to\n")),
             (3, "license of the mit"), (4, None), (5, ""), (6, "All rights reserved.\n\nALL RIGHTS RESERVED")]

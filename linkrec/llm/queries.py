@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkrec.llm import sql
 from linkrec.llm.common import table
@@ -13,11 +14,14 @@ from linkrec.llm.licenses import scan_licenses
 from linkrec.llm.line_dedup import line_report
 from linkrec.llm.mixing import mixed_documents
 from linkrec.llm.odd_sketch import near_duplicates
+from linkrec.llm.piece_offsets import encode_pieces
 from linkrec.llm.pii import personal_data
 from linkrec.llm.pq_dedup import near_vectors
+from linkrec.llm.runs import run_report
 from linkrec.llm.sharding import shard_documents
 from linkrec.llm.token_counts import token_counts
 from linkrec.llm.toxicity import toxicity
+from linkrec.llm.whitening import whitened_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -80,3 +84,22 @@ def q_pii(spark, sf):
 @query("op7_token_counts")
 def q_token_counts(spark, sf):
     return token_counts(table(spark, sf, "documents"))
+
+
+@query("op11_pieces")
+def q_pieces(spark, sf):
+    from public_tokenizers import path
+    encoded = encode_pieces(table(spark, sf, "documents"), path("piece_bpe_32k.model"))
+    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+                          F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                          F.sha2("ends", 256).alias("ends_sha256"))
+
+
+@query("op12_periodic_runs")
+def q_periodic_runs(spark, sf):
+    return run_report(table(spark, sf, "documents"))
+
+
+@query("op13_whitening")
+def q_whitening(spark, sf):
+    return whitened_components(table(spark, sf, "embeddings"))

@@ -73,13 +73,14 @@ class Runs:
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """(doc_id, row, gone): the places, from 0, of the lines that each row of `docs` loses."""
+    """(doc_id, row, gone): the places, from 0 in ascending order, of the lines that each row of `docs` loses."""
     spark = docs.sparkSession
     cuts = docs.select(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000)).first()[0] or []
     owner = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST))
     batch = sum((F.when(F.col("owner") > c, 1).otherwise(0) for c in cuts), F.lit(0))
-    lines = (docs.select(owner.alias("owner"), row_key().alias("row"),
-                         F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    # the row's key in a step of its own: beside the generator it would be hashed anew for every line
+    lines = (docs.select(owner.alias("owner"), row_key().alias("row"), F.split("text", "\n").alias("lines"))
+             .select("owner", "row", F.posexplode("lines").alias("pos", "line"))
              .select("owner", "row", "pos", line_key(F.col("line")).alias("key"))
              .where(F.char_length("key") >= min_chars)
              .select(batch.alias("batch"), "owner", "row", "pos", F.xxhash64("key").alias("h1"),
@@ -95,7 +96,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BA
         hit = known.where("old is not null or first < last").select(
             "h1", "h2", F.coalesce("old", "first").alias("keeper"))
         lost = (mine.join(hit, ["h1", "h2"]).where("keeper < owner")
-                .groupBy("owner", "row").agg(F.collect_set("pos").alias("gone")))
+                .groupBy("owner", "row").agg(F.sort_array(F.collect_set("pos")).alias("gone")))
         lost = materialize(lost, "dropped")
         gone = lost if gone is None else gone.unionByName(lost)
         if i < len(cuts):
@@ -111,12 +112,25 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATC
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.withColumns({"_o2": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)), "_r2": row_key()})
     joined = keyed.join(gone.hint("shuffle_hash"), (F.col("_o2") == F.col("_o")) & (F.col("_r2") == F.col("_r")), "left")
-    lines = F.split(text, "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
+    n_lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     return joined.withColumns({
-        "n_lines": F.size(lines).cast("bigint"),
+        "n_lines": n_lines.cast("bigint"),
         "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"),
-        "kept": F.when(F.col("_gone").isNull(), text).otherwise(kept)}).drop("_o", "_r", "_gone", "_o2", "_r2")
+        "kept": F.when(F.col("_gone").isNull(), text).otherwise(_without(text, F.col("_gone")))}).drop(
+            "_o", "_r", "_gone", "_o2", "_r2")
+
+
+def _without(text: Column, gone: Column) -> Column:
+    """The text without the lines at the ascending places `gone`.  A mark of one byte a line tells which are
+    lost, so each line costs one look, however many are lost."""
+    gaps = F.zip_with(F.concat(F.array(F.lit(-1)), F.slice(gone, F.lit(1), F.size(gone) - 1)), gone,
+                      lambda a, b: F.concat(F.repeat(F.lit("0"), b - a - 1), F.lit("1")))
+    marks = F.array_join(gaps, "").cast("binary")
+
+    def kept(s: Column) -> Column:
+        return F.array_join(F.filter(s["lines"], lambda x, i: F.substring(s["marks"], i + 1, F.lit(1)) != F.lit(b"1")), "\n")
+    # the one-element array has the text cut and the marks made once, not once a line
+    return F.get(F.transform(F.array(F.struct(F.split(text, "\n").alias("lines"), marks.alias("marks"))), kept), F.lit(0))
 
 
 def line_report(docs: DataFrame) -> DataFrame:

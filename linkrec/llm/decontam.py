@@ -11,6 +11,8 @@ siblings of the same template beside a copy do not hide it.  Texts are read in t
 modes, any of which is enough: with the names inside sentences as placeholders, with
 the same names at sentence starts too, and literally in lower case, where values need not be typed.
 So verbatim copies and re-parameterised ones are caught, chance templates are not.
+Most documents cannot hold any item and are passed over after one look at their words: of each item some words, the
+rarest among the documents, are taken such that no `coverage` of its windows is without all of them (`anchors`).
 
 Edge cases: null and empty texts hold and match nothing; texts shorter than a
 window are one padded window, and such items are also looked for literally inside longer texts; a row is known by doc_id and text, so repeated
@@ -36,6 +38,8 @@ START = "\ue001"
 WINDOW, COVERAGE = 5, 0.8
 #: Most benchmark windows that are broadcast (24 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
+#: Most words that are sent along with the plan; with more, all documents are read in full.
+PLAN_WORDS = 20_000
 
 
 def _marked(text: Column) -> Column:
@@ -48,8 +52,8 @@ def _marked(text: Column) -> Column:
     both = F.transform(F.array(words), lambda ws: F.struct(
         ws.alias("ws"), F.array_distinct(F.filter(ws, lambda x: x.startswith(NAME))).alias("names")))
     return F.get(F.transform(both, lambda b: F.transform(b["ws"], lambda x: F.when(
-        x.startswith(START) & ~F.array_contains(b["names"], F.concat(F.lit(NAME), F.substring(x, 2, 1000))),
-        F.substring(x, 2, 1000)).otherwise(x))), F.lit(0))
+        x.startswith(START) & ~F.array_contains(b["names"], F.concat(F.lit(NAME), F.substr(x, F.lit(2)))),
+        F.substr(x, F.lit(2))).otherwise(x))), F.lit(0))
 
 
 def _form(token: Column, mode: str) -> Column:
@@ -92,6 +96,60 @@ def windows(df: DataFrame, keys: list[str], w: int, modes: str = "t") -> DataFra
     return at.select(*keys, "pos", F.explode(F.array_distinct(F.array(*found))).alias("window"))
 
 
+def _words(text: Column) -> Column:
+    """The literal words of a text that holds no digits in them, as `_marked` cuts them."""
+    return F.split(F.lower(F.translate(text, NAME + START, "")), r"[^\p{L}\p{N}]+")
+
+
+def anchors(docs: DataFrame, items: DataFrame, w: int, coverage: float) -> list[str] | None:
+    """Words of which every document that holds an item, and is not shorter than a window, has at least one; None where
+    an item has no such words, or too many would be needed.  Only words that no mode reads as a placeholder count.
+    A window ranks by its word that is rarest among the documents; an item's words up to the rank at which fewer
+    than `coverage` of its distinct windows are left, in any mode, are taken."""
+    def literal(x: Column) -> Column:
+        return kind(_form(x, "s")).isNull() & ~x.startswith(START) & ~x.rlike(r"\p{N}")
+    keyed = items.where(F.length("text") > 0).select(
+        F.coalesce(F.col("item_id").cast("string"), F.lit("\x00")).alias("item"), row_key().alias("uid"), "text")
+    toks = keyed.withColumn("m", _marked(F.col("text"))).where(F.size("m") > 0)
+    at = materialize(toks.select("item", "uid", F.size("m").alias("n"), F.posexplode(
+        F.transform("m", lambda x: F.when(literal(x), x))).alias("pos", "word")).distinct(), "item_words")
+    words = at.select("word").where("word is not null").distinct()
+    if words.count() > PLAN_WORDS:
+        return None
+    seen = (docs.where(F.length("text") > 0).select(F.explode(_words(F.col("text"))).alias("word"))
+            .join(F.broadcast(words), "word").groupBy("word").agg(F.count(F.lit(1)).alias("c")))
+    rank = materialize(words.join(seen, "word", "left").select(
+        "word", F.struct(F.coalesce("c", F.lit(0).cast("bigint")).alias("c"), "word").alias("rank")), "word_ranks")
+    # the windows that a word lies in start up to w - 1 places before it
+    starts = F.sequence(F.greatest(F.lit(0), F.col("pos") - (w - 1)), F.least(F.col("pos"), F.greatest(F.lit(0), F.col("n") - w)))
+    best = (at.join(rank, "word", "left").withColumn("pos", F.explode(starts))
+            .groupBy("item", "uid", "pos").agg(F.min("rank").alias("rank")))
+    limits = []
+    for mode in "tls":
+        ranked = (windows(keyed, ["item", "uid"], w, mode).join(best, ["item", "uid", "pos"], "left")
+                  .groupBy("item", "window").agg(F.min("rank").alias("rank"))
+                  .groupBy("item").agg(F.sort_array(F.collect_list("rank")).alias("ranks"), F.count(F.lit(1)).alias("n")))
+        left = F.col("n") - F.ceil(F.lit(coverage) * F.col("n") - 1e-9)
+        limits.append(ranked.select("item", F.get("ranks", left.cast("int")).alias("limit")))
+    limit = materialize(limits[0].unionByName(limits[1]).unionByName(limits[2]), "limits")
+    if limit.where("limit is null").count():
+        return None
+    top = limit.groupBy("item").agg(F.max("limit").alias("limit"))
+    chosen = at.join(rank, "word").join(top, "item").where("rank <= limit").select("word").distinct()
+    return sorted(r["word"] for r in chosen.collect())
+
+
+def _candidates(docs: DataFrame, items: DataFrame, w: int, coverage: float) -> DataFrame:
+    """The documents that may hold an item."""
+    some = anchors(docs, items, w, coverage)
+    if some is None:
+        return docs
+    words = _words(F.col("text"))
+    # up to two of the parts are empty ones at the text's ends
+    return docs.where(F.length("text") > 0).where(F.get(F.transform(F.array(words), lambda ws: (
+        F.size(ws) < w + 2) | F.arrays_overlap(ws, F.lit(some).cast("array<string>"))), F.lit(0)))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, w: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, row, item_id, n_windows, n_matched, coverage, n_slots, consistency), one row for
     each document row (`row` is `row_key()` of its text) and item it holds, in the mode that fits best."""
@@ -104,7 +162,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, w: int = WINDOW, coverag
                         .unionByName(windows(started, ["item_id"], w, "s").withColumn("mode", F.lit("s"))), "benchmark_windows")
     distinct = bench.select("item_id", "mode", "window").distinct()
     total = distinct.groupBy("item_id", "mode").agg(F.count(F.lit(1)).alias("n_windows"))
-    rows = docs.select(F.col("doc_id"), row_key().alias("row"), "text")
+    rows = _candidates(docs.select("doc_id", row_key().alias("row"), "text"), items, w, coverage)
     modes = "".join(m for m in "tls" if m in {r["mode"] for r in bench.select("mode").distinct().collect()})
 
     def matches(of: DataFrame, side: DataFrame) -> DataFrame:

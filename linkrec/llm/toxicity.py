@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkrec.llm.common import hash52, small_batches
+from linkrec.llm.components import connected_components
 from linkrec.session import materialize
 
 #: The classifier is fitted to at most this many labelled texts, first in hash order.
@@ -38,6 +40,10 @@ WINDOW = 4
 CACHE = 300_000
 #: States of the automaton that are kept before it is built anew, a bound on memory.
 STATES = 50_000
+#: Most label rows (16 bytes each) that are broadcast; more are joined by a shuffle.
+BROADCAST_LABELS = 2_000_000
+#: Salts of the MinHashes that find near copies among the labelled texts.
+SIGNATURES = range(1, 9)
 #: Misspellings that the operator looks for: in any letter, in terms of at least so many letters.
 NEAR = {"first": False, "least": 4}
 
@@ -231,15 +237,33 @@ def _evidence(toxic: Column, clean: Column, base: float) -> Column:
     return toxic * F.log(toxic / n / base) + F.when(clean > 0, clean * F.log(clean / n / (1 - base))).otherwise(0.0)
 
 
-def _signature(text: Column) -> Column:
-    """MinHash of the text's runs of three words: near copies agree but for their Jaccard distance."""
-    def least(w: Column) -> Column:
-        n = F.size(w) - 2
-        pairs = F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), lambda a, b: F.struct(a, b))
-        return F.array_min(F.zip_with(pairs, F.slice(w, F.lit(3), n), lambda p, c: F.xxhash64(p, c)))
-    # the one-element array has the text cut once, not once a use
-    return F.get(F.transform(F.array(F.split(text, r"\s+")), lambda w: F.when(
-        F.size(w) > 2, least(w)).otherwise(F.xxhash64(text))), F.lit(0))
+def _least(text: str | None) -> np.ndarray:
+    """MinHashes of the text's runs of three words, one for each of `SIGNATURES`."""
+    words = (text or "").split()
+    h = np.fromiter((crc32(x.encode()) for x in words), np.uint64, len(words))
+    n = max(1, len(h) - 2)
+    grams = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(min(3, len(h))):
+            grams = (grams ^ h[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
+            grams ^= grams >> np.uint64(29)
+        return np.array([((grams ^ np.uint64(s)) * np.uint64(0xBF58476D1CE4E5B9 + 2 * s)).min() for s in SIGNATURES])
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _signatures(texts: pd.Series) -> pd.Series:
+    return pd.Series([_least(t).view(np.int64).tolist() for t in texts])
+
+
+def _distinct_texts(labelled: DataFrame) -> DataFrame:
+    """(text, toxic): of the labelled texts (key, text, toxic) one for each group of near copies of a label.
+    Texts that agree in a MinHash are linked, near copies of 80 % in at least one of eight but for 3 in a million;
+    a group is what the links connect, so it counts once as evidence however its copies differ."""
+    sig = materialize(labelled.select("key", "toxic", F.posexplode(_signatures(F.col("text"))).alias("j", "s")), "signatures")
+    first = sig.groupBy("toxic", "j", "s").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    links = sig.join(first, ["toxic", "j", "s"]).where("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b"))
+    copies = connected_components(links).where("node <> component").select(F.col("node").alias("key"))
+    return labelled.join(copies, "key", "left_anti").select("text", "toxic")
 
 
 def _near_terms(terms: list[str]):
@@ -258,25 +282,26 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chance: flo
     known = materialize(labels.where("doc_id is not null and toxic in (0, 1)").where(train_rows(F.col("doc_id")))
                         .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")), "known")
     some = known.orderBy(hash52("doc_id"), "doc_id").limit(rows)
-    sample = materialize(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic"),
-                         "labelled")
+    # texts are shuffled only where the labels are too many to be sent along
+    side = F.broadcast(known) if known.count() <= BROADCAST_LABELS else known
+    labelled = materialize(docs.select("doc_id", "text").join(side, "doc_id").withColumn(
+        "key", F.xxhash64("doc_id", "text", F.col("text").isNull())), "labelled")
+    sample = materialize(labelled.join(F.broadcast(some.select("doc_id")), "doc_id").select("text", "toxic"), "sample")
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     model = {"terms": [], "not_terms": [], "weights": [float(np.log((n.get(1, 0) + 0.5) / (n.get(0, 0) + 0.5)))] + [0.0] * 6}
     if not n.get(0) or not n.get(1):
         return model
-    # near copies are no evidence of their own: texts of a label with the same signature count once
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"), F.length("text").alias("_l"))
-    once = materialize(keyed.where("_l > 0").join(known, "doc_id")
-                       .groupBy(_signature(F.col("text")).alias("_s"), "toxic")
-                       .agg(F.min(F.struct("doc_id", "_h", "_l")).alias("m")).select("m.*", "toxic"), "distinct_texts")
-    texts = keyed.join(once, ["doc_id", "_h", "_l"]).dropDuplicates(["doc_id", "_h", "_l"]).select("text", "toxic")
-    counts = materialize(texts.mapInPandas(_term_counts, "term string, clean long, toxic long")
+    # near copies are no evidence of their own
+    once = materialize(_distinct_texts(labelled.where("length(text) > 0").dropDuplicates(["key"])), "distinct_texts")
+    counts = materialize(once.mapInPandas(_term_counts, "term string, clean long, toxic long")
                          .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "terms")
     base, n_terms = once.select(F.avg("toxic")).first()[0], counts.count()
     if not base or base == 1:
         return model
+    # words of the context have their own features and are no terms
     lexicon = sorted(r["term"] for r in counts.where(
-        (F.col("toxic") >= precision * (F.col("toxic") + F.col("clean"))) & (F.col("toxic") > base * (F.col("toxic") + F.col("clean")))
+        ~F.col("term").isin(sorted(SECOND | REPORTING)) & (F.col("toxic") >= precision * (F.col("toxic") + F.col("clean")))
+        & (F.col("toxic") > base * (F.col("toxic") + F.col("clean")))
         & (_evidence(F.col("toxic"), F.col("clean"), base) >= float(np.log(n_terms / chance)))).select("term").collect())
     if not lexicon:
         return model

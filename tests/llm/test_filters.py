@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import time
 
 from pyspark.sql import functions as F
 
+from linkrec.llm import decontam
 from linkrec.llm.decontam import clean, contaminated
 from linkrec.llm.licenses import TEMPLATES, scan_licenses
 from linkrec.llm.line_dedup import line_report
@@ -40,6 +42,42 @@ def test_line_dedup_matches_brute_force(spark):
     assert line_report(docs(spark, [])).count() == 0
 
 
+def test_line_dedup_of_long_texts_is_linear(spark):
+    text = "\n".join(f"line number {i} of a long text" for i in range(200_000))
+    rows = [(1, text), (2, text), (3, text + "\nand one line of its own")]
+    df = docs(spark, rows).selectExpr("*", "1 as owner", "'x' as row", "2 as pos", "3 as _gone", "4 as gone")
+    start = time.time()
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in line_report(df).collect()}
+    empty = hashlib.sha256(b"").hexdigest()
+    assert got == {1: (200_000, 0, hashlib.sha256(text.encode()).hexdigest()), 2: (200_000, 200_000, empty),
+                   3: (200_001, 200_000, hashlib.sha256(b"and one line of its own").hexdigest())}
+    assert time.time() - start < 90
+
+
+def test_anchor_words_lose_no_document(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)] + ["Tom", "Anna", "km", "hours"]
+    sentence = lambda n: " ".join(rng.choices(words, k=n)).capitalize() + rng.choice([".", "?"])
+    items = [(i, sentence(rng.randrange(1, 30)) + f" He has {i} coins.") for i in range(40)] + [(None, sentence(9)), (3, sentence(12))]
+    texts = []
+    for i in range(300):
+        own, parts = [t for _, t in rng.choices(items, k=2)], [sentence(rng.randrange(0, 40)) for _ in range(3)]
+        if i % 3:
+            cut = own[0].split()
+            own[0] = " ".join(cut[rng.randrange(0, 3):]).replace("coins", rng.choice(["coins", "stones"]))
+            parts.insert(1, own[0] if i % 2 else own[0].lower())
+        texts.append((i, " ".join(parts)))
+    texts += [(900, items[0][1]), (901, "coins"), (902, None), (903, ""), (904, "1 2 3")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = docs(spark, texts)
+    kept = decontam._candidates(df, bench, 5, 0.8)
+    got = sorted(map(str, contaminated(df, bench).collect()))
+    assert kept.count() < df.count() and len(got) > 50
+    monkeypatch.setattr(decontam, "_candidates", lambda d, *a: d)
+    assert sorted(map(str, contaminated(df, bench).collect())) == got
+    assert decontam.anchors(df, spark.createDataFrame([(1, "12 13 14")], "item_id long, text string"), 5, 0.8) is None
+
+
 def test_decontamination(spark):
     bench = spark.createDataFrame([
         (1, "A train with 12 coaches leaves Paris after 30 minutes and meets 12 other coaches near the old bridge."),
@@ -169,3 +207,22 @@ def test_toxicity_learns_a_long_tail(spark):
     assert not set(model["terms"]) & set(words) and len(set(model["terms"]) & set(terms)) >= 95 and "zqx" in model["terms"]
     got = score(docs(spark, [(i, f"well {t} indeed") for i, t in enumerate(model["terms"])] + [(900, "well now indeed")]), model)
     assert {r.doc_id for r in got.collect() if r.score < 0.5} == {900}
+
+
+def test_near_copies_are_one_piece_of_evidence(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("bcdfgklmnprstvz", k=3)) + "a" + "".join(rng.choices("bcdfg", k=3))
+    base = [word() for _ in range(150)]
+    copies = []
+    for _ in range(60):                                      # toxic copies of one text, each with some words changed
+        own = list(base)
+        for k in rng.sample(range(150), 4):
+            own[k] = word()
+        copies.append(" ".join(own) + " you clown")
+    prose = [word() for _ in range(300)]
+    clean_texts = [" ".join(rng.choices(prose, k=40)) for _ in range(300)]
+    toxic_texts = [" ".join([*rng.choices(prose, k=20), "you", rng.choice(["clown", "moron"]), *rng.choices(prose, k=20)]) for _ in range(80)]
+    texts = [(t, 1) for t in copies + toxic_texts] + [(t, 0) for t in clean_texts]
+    table = docs(spark, [(i, t) for i, (t, _) in enumerate(texts)])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+    assert fit(table, labels)["terms"] == ["clown", "moron"]

@@ -28,7 +28,7 @@ def test_topk_uses_window_group_limit(spark):
 
 
 def test_global_top_n_is_take_ordered(spark):
-    p = _plan(E.queries()["strong_similar_pairs"](spark, SF001))
+    p = _plan(E.queries()["strong_similar_top"](spark, SF001))
     assert "TakeOrderedAndProject" in p
 
 

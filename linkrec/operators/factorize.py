@@ -1,6 +1,6 @@
 """Truncated SVD of the follow matrix (H7-H10), distributed.
 
-Randomized block Krylov iteration, written on DataFrames:
+Thick-restarted block Lanczos from a random start, written on DataFrames:
 
 * A is the long table ``(i, j, a)`` of the follow matrix (duplicates summed,
   as a sparse-matrix build sums them); dense n x r blocks are one array of r
@@ -10,7 +10,7 @@ Randomized block Krylov iteration, written on DataFrames:
 * orthonormalisation: the r x r Gram matrix is summed from per-partition
   partial products (``mapInPandas``), eigen-decomposed on the driver (r x r
   only, r = k + oversampling) and applied row-wise with a pandas UDF;
-* the small SVD of B = Qᵀ A is taken from B Bᵀ (r x r) the same way.
+* Ritz values and vectors of A Aᵀ come from the basis' inner products, at most ``max_width`` wide.
 
 Nothing with n rows or columns is ever collected.  Scores built on the
 factors (U Σ Vᵀ rows, U Σ dot products) do not depend on singular-vector signs.
@@ -115,72 +115,95 @@ def orthonormalise(Y: DataFrame, G: np.ndarray, name: str, floor: float = 0.0,
     return Y, int(keep.sum())
 
 
-def _beside(K: DataFrame, Y: DataFrame) -> DataFrame:
-    """Rows ``(id, k, vec)`` of two dense blocks over the same ids."""
-    return K.select("id", F.col("vec").alias("k")).join(Y, "id")
-
-
-def _outside(K: DataFrame, k: int, Y: DataFrame, r: int, name: str) -> DataFrame:
-    """Y (r wide) minus its projection on the k orthonormal columns of K, taken twice."""
-    for _ in range(2):
-        both = _beside(K, Y)
+def _inner_products(both: DataFrame, width: int, r: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """K'K_last, K'Y and Y'Y of rows ``(id, k, vec)``: K is ``width`` wide, K_last are its last r columns, Y is r wide."""
+    def product(pdf):
+        k, y = np.stack(pdf["k"].to_numpy()), np.stack(pdf["vec"].to_numpy())
+        right = np.hstack([k[:, -r:], y])
+        return np.vstack([k.T @ right, np.hstack([np.zeros((r, r)), y.T @ y])])
+    got = _small_sum(both.select("k", "vec"), product, width + r)
+    return got[:width, :r], got[:width, r:], got[width:, r:]
 
-        C = _small_sum(both.select("k", "vec"),
-                       lambda pdf: np.stack(pdf["k"].to_numpy()).T @ np.stack(pdf["vec"].to_numpy()), k)
 
-        @F.pandas_udf(ARR)
-        def rest(kv: pd.Series, yv: pd.Series) -> pd.Series:
-            if len(kv) == 0:
-                return pd.Series([], dtype=object)
-            return pd.Series(list(np.stack(yv.to_numpy()) - np.stack(kv.to_numpy()) @ C))
-        Y = materialize(both.select("id", rest("k", "vec").alias("vec")), name)
-    return Y
+def _next_basis(both: DataFrame, keep: np.ndarray | None, P: np.ndarray, W: np.ndarray, name: str) -> DataFrame:
+    """Rows of [K or K keep | (Y - K P) W] from rows ``(id, k, vec)``."""
+    @F.pandas_udf(ARR)
+    def row(kv: pd.Series, yv: pd.Series) -> pd.Series:
+        if len(kv) == 0:
+            return pd.Series([], dtype=object)
+        k, y = np.stack(kv.to_numpy()), np.stack(yv.to_numpy())
+        return pd.Series(list(np.hstack([k if keep is None else k @ keep, (y - k @ P) @ W])))
+    return materialize(both.select("id", row("k", "vec").alias("vec")), name)
 
 
-def randomized_svd(A: DataFrame, k: int, oversample: int = 10, tol: float = 1e-5, max_blocks: int = 60,
-                   seed: int = 42) -> tuple[DataFrame, np.ndarray, DataFrame]:
-    """Top-k singular triplets of A ``(i, j, a)`` by a randomized block Krylov
-    space (Musco & Musco, 2015) with full reorthogonalisation.
+def randomized_svd(A: DataFrame, k: int, oversample: int = 10, tol: float = 1e-5, max_blocks: int = 300,
+                   seed: int = 42, max_width: int | None = None) -> tuple[DataFrame, np.ndarray, DataFrame]:
+    """Top-k singular triplets of A ``(i, j, a)`` by thick-restarted block Lanczos on A Aᵀ.
 
-    Blocks are added until every wanted triplet has |A v - s u| <= tol * s; the
-    residual comes from the next block, so it costs nothing extra.  Raises if
+    A block costs four jobs: Aᵀ Q, A (Aᵀ Q) beside the basis K, the inner products of both, and the next
+    block.  The inner products give at once the projected matrix Kᵀ A Aᵀ K, the basis' own Gram matrix (so
+    K need not be orthonormal to the last digit), the next block and the residuals.
+    Blocks are added until every wanted triplet has |A v - s u| <= tol * s.  A basis that would
+    grow beyond ``max_width`` columns (10 (k + oversample) if not given) is cut down to its best Ritz vectors, half as
+    wide, so neither a row nor a matrix on the driver is ever wider; converged vectors stay in it.  Raises if
     ``max_blocks`` do not suffice.  Returns ``U(id, vec)`` (rows of U, left
     factor), singular values ``s`` (descending) and ``V(id, vec)`` (rows of V).
     Rows of users without edges are absent (zero rows).  May return fewer than
     k factors when A's rank is lower.
     """
     r = k + oversample
+    max_width = max(max_width or 10 * r, 3 * r)
+    A = materialize(A, "svd-a")
     rows = A.select(F.col("j").alias("id")).distinct()
     omega = rows.select("id", F.transform(F.sequence(F.lit(0), F.lit(r - 1)), lambda c: F.when(
         F.pmod(F.xxhash64(F.col("id"), c, F.lit(seed)), F.lit(2)) == 0, F.lit(1.0)).otherwise(F.lit(-1.0)))
         .alias("vec"))
-    A = A.cache()
     Y = materialize(a_times(A, omega), "svd-y")
-    Q, r = orthonormalise(Y, gram(Y, r), "svd-q")
-    Z = materialize(at_times(A, Q), "svd-z")
-    K, B, width = Q, Z, r                                   # all blocks side by side, and A^T times them
+    K, r = orthonormalise(Y, gram(Y, r), "svd-k")
+    if K is None:
+        raise ValueError("a matrix without entries has no singular triplets")
+    H, M = np.zeros((0, 0)), np.zeros((0, 0))              # K'AA'K and K'K, but for the last block's rows and columns
     for _ in range(max_blocks):
-        w, Ub = np.linalg.eigh(gram(B, width))              # A A^T on the Krylov space
+        width = len(H) + r
+        Z = materialize(at_times(A, K.select("id", F.slice("vec", width - r + 1, r).alias("vec"))), "svd-z")
+        both = materialize(K.select("id", F.col("vec").alias("k")).join(a_times(A, Z), "id"), "svd-y")
+        own, C, G = _inner_products(both, width, r)
+        H, M = _bordered(H, C, r), _bordered(M, own, r)
+        m, T = np.linalg.eigh(M)
+        T = T / np.sqrt(m)                                  # K T is orthonormal
+        w, E = np.linalg.eigh(T.T @ H @ T)
         order = np.argsort(w)[::-1]
-        w, Ub = w[order], Ub[:, order]
+        w, E = w[order], (T @ E)[:, order]                  # Ritz values and vectors of A A'
         kk = int(min(k, (w > 1e-12 * max(w[0], 1e-300)).sum()))
-        s = np.sqrt(w[:kk])
-        Y = _outside(K, width, materialize(a_times(A, Z), "svd-y"), r, "svd-y")
-        G, last = gram(Y, r), Ub[-r:, :kk]
-        off = np.sqrt(np.maximum((last * (G @ last)).sum(0), 0)) / w[:kk]
-        if off.max() <= tol:
+        P = T @ (T.T @ C)
+        rest = G - C.T @ P                                  # Gram matrix of the block's part outside K
+        last = E[-r:, :kk]
+        if (np.sqrt(np.maximum((last * (rest @ last)).sum(0), 0)) <= tol * w[:kk]).all():
             break
-        Q, r = orthonormalise(Y, G, "svd-q", floor=(1e-11 * w[0]) ** 2)
-        if Q is None:                                       # the space holds all of A's range
+        e, V = np.linalg.eigh((rest + rest.T) / 2)
+        new = e > (1e-7 * w[0]) ** 2
+        if not new.any():                                   # the space holds all of A's range
             break
-        Z = materialize(at_times(A, Q), "svd-z")
-        K, B = (materialize(_beside(old, new).select("id", F.concat("k", "vec").alias("vec")), "svd-k")
-                for old, new in ((K, Q), (B, Z)))
-        width += r
+        keep = None
+        if width + new.sum() > max_width:
+            keep = E[:, :max_width // 2]
+            H, M = np.diag(w[:max_width // 2]), np.eye(keep.shape[1])
+        K, r = _next_basis(both, keep, P, V[:, new] / np.sqrt(e[new]), "svd-k"), int(new.sum())
     else:
         raise RuntimeError(f"no {k} singular triplets within {tol} after {max_blocks} blocks")
-    A.unpersist()
-    return times_small(K, Ub[:, :kk]), s, times_small(B, Ub[:, :kk] / s)
+    s = np.sqrt(w[:kk])
+    U = materialize(times_small(K, E[:, :kk]), "svd-u")
+    return U, s, materialize(times_small(at_times(A, U), np.diag(1 / s)), "svd-v")
+
+
+def _bordered(old: np.ndarray, columns: np.ndarray, r: int) -> np.ndarray:
+    """The symmetric matrix whose last r columns are ``columns`` and whose other entries are ``old``."""
+    out = np.zeros((len(columns), len(columns)))
+    out[:len(old), :len(old)] = old
+    out[:, -r:] = columns
+    out[-r:, :] = columns.T
+    out[-r:, -r:] = (columns[-r:] + columns[-r:].T) / 2
+    return out
 
 
 def embeddings(U: DataFrame, s: np.ndarray) -> DataFrame:

@@ -98,3 +98,23 @@ def test_svd_of_flat_spectrum_matches_exact(spark):
         got[r.id] = np.array(r.vec) * s
     exact = (u[:, :k] * sv[:k]) @ (u[:, :k] * sv[:k]).T
     assert np.linalg.norm(got @ got.T - exact) <= 1e-4 * np.linalg.norm(exact)
+
+
+def test_restarted_basis_stays_narrow_and_converges(spark):
+    """A flat spectrum, a basis of three blocks: residuals and pair dots as without a cut."""
+    rng = np.random.default_rng(9)
+    edges = sorted({(int(a), int(b)) for a, b in rng.integers(0, 90, (900, 2))})
+    A = spark.createDataFrame([(a, b, 1.0) for a, b in edges], "i long, j long, a double")
+    dense = np.zeros((90, 90))
+    dense[tuple(np.array(edges).T)] = 1.0
+    U, s, V = FZ.randomized_svd(A, k=6, oversample=4, max_width=30)
+    assert np.allclose(s, np.linalg.svd(dense)[1][:6], rtol=1e-8)
+    u, v = np.zeros((90, 6)), np.zeros((90, 6))
+    for m, df in ((u, U), (v, V)):
+        for row in df.collect():
+            m[row["id"]] = row["vec"]
+    assert (np.linalg.norm(dense @ v - u * s, axis=0) <= 1.1e-5 * s).all()
+    assert np.allclose(u.T @ u, np.eye(6), atol=1e-6)
+    best = np.linalg.svd(dense)
+    exact = best[0][:, :6] * best[1][:6]
+    assert np.abs((u * s) @ (u * s).T - exact @ exact.T).max() < 1e-3

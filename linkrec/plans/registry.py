@@ -114,7 +114,7 @@ def q_batch_cosine(spark, sf):
 @query("strong_similar_pairs", sql(["strong"], """select user_a, user_b,
     round(jaccard_score, 6) jaccard_score from strong"""))
 def q_strong(spark, sf):
-    s = S.strong_similar_pairs(S.batch_jaccard(_scores(Tables(spark, sf))))
+    s = S.strong_jaccard(_scores(Tables(spark, sf)))
     return s.select("user_a", "user_b", rnd(F.col("jaccard_score")).alias("jaccard_score"))
 
 
@@ -126,7 +126,7 @@ _SPOT = ", ".join(str(u) for u in daily.SPOT_CHECK_USERS)
     from strong order by strong.jaccard_score desc, user_a, user_b limit 10000"""))
 def q_strong_top(spark, sf):
     """The 10,000 best pairs above the threshold (the limit is the feature)."""
-    s = S.strong_similar_pairs(S.batch_jaccard(_scores(Tables(spark, sf))), limit=10000)
+    s = S.strong_jaccard(_scores(Tables(spark, sf)), limit=10000)
     return s.select("user_a", "user_b", rnd(F.col("jaccard_score")).alias("jaccard_score"))
 
 

@@ -87,6 +87,19 @@ def hash_order(*parts) -> Column:
     return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint")
 
 
+def hash_unit(*parts) -> Column:
+    """Reproducible uniform number in (0, 1): the first 60 bits of
+    md5('a|b|seed'), plus a half, over 2**60 (in DuckDB
+    ``(('0x'||substr(md5(s),1,15))::BIGINT + 0.5) / 2**60``)."""
+    cols = []
+    for i, p in enumerate(parts):
+        if i:
+            cols.append(F.lit("|"))
+        cols.append(p.cast("string") if isinstance(p, Column) else F.lit(str(p)))
+    h = F.conv(F.substring(F.md5(F.concat(*cols)), 1, 15), 16, 10).cast("bigint")
+    return (h.cast("double") + F.lit(0.5)) / F.lit(float(1 << 60))
+
+
 def same_or_zero(a: Column, b: Column) -> Column:
     """Equality flag where a missing value never equals anything."""
     return F.coalesce((a == b).cast("int"), F.lit(0))

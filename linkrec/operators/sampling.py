@@ -1,4 +1,4 @@
-"""Sampling and splitting (I1-I6) by hash order instead of a seeded RNG.
+"""Sampling and splitting (I1-I7) by hash order instead of a seeded RNG.
 
 The order key of every sampler is ``hash_order(...)``: the first 32 bits of an
 md5, uniform on [0, 2**32), identical in any partitioning and in DuckDB.
@@ -12,8 +12,9 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linkrec.functions.exprs import hash_order
+from linkrec.functions.exprs import hash_order, hash_unit
 from linkrec.operators.features import dense_index
+from linkrec.session import materialize
 
 SEED = 42
 HOT_GROUP = 1 << 16
@@ -135,6 +136,86 @@ def candidates(users: DataFrame, pool: int = 200, seed: int = SEED) -> DataFrame
     return picked.join(idx, "pos").select("user_id", F.col("new_id").alias("candidate"), "j")
 
 
+def bernoulli_indices(spark: SparkSession, total: int, p: float, seed: int = SEED, *,
+                      first_block: int = 0, blocks: int | None = None, block_draws: int = 1024) -> DataFrame:
+    """Every index of 0..total-1 independently with probability ``p``, as
+    (``block``, ``idx``), at the cost of the rows drawn.
+
+    The indices are cut into blocks of ``block_length(p, block_draws)``.  Inside a
+    block, the distance to the next drawn index is geometric,
+    1 + floor(ln(u) / ln(1 - p)), and the running sum of the distances gives the
+    places; the law has no memory, so blocks start afresh and are independent
+    tasks.  A block's draws come in rounds of about twelve standard deviations
+    above their mean; a block whose places have not passed its end (next to
+    never) goes on with another round, so no index is left out.
+    """
+    if not 0 < p < 1:
+        raise ValueError("p must be in (0, 1)")
+    length = block_length(p, block_draws)
+    every = -(-total // length)
+    last = every if blocks is None else min(every, first_block + blocks)
+    mean = length * p
+    draws = math.ceil(mean + 12 * math.sqrt(mean) + 32)
+    open_blocks = spark.range(first_block, max(last, first_block)).select(
+        F.col("id").alias("block"), F.lit(-1).cast("bigint").alias("at"))
+    out, start = None, 0
+    while True:
+        gaps = open_blocks.withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(start + draws - 1))))
+        gap = 1 + F.floor(F.log(hash_unit(F.col("block"), F.col("k"), seed)) / F.lit(math.log1p(-p)))
+        so_far = Window.partitionBy("block").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+        places = gaps.select("block", "k", (F.col("at") + F.sum(gap).over(so_far)).alias("at"))
+        places = materialize(places, "bernoulli")
+        idx = F.col("block") * F.lit(length) + F.col("at")
+        drawn = places.where((F.col("at") < length) & (idx < total)).select("block", idx.alias("idx"))
+        out = drawn if out is None else out.unionByName(drawn)
+        open_blocks = places.groupBy("block").agg(F.max("at").alias("at")).where(F.col("at") < length)
+        if open_blocks.isEmpty():
+            return out
+        start += draws
+
+
+def block_length(p: float, block_draws: int = 1024) -> int:
+    """Indices in one block of ``bernoulli_indices``, of ``block_draws`` expected draws."""
+    return math.ceil(block_draws / p)
+
+
+def bernoulli_pairs(spark: SparkSession, users: DataFrame, p: float = 0.001, n: int | None = None,
+                    seed: int = SEED) -> DataFrame:
+    """Each ordered pair of users with probability ``p``, the pairs of a user
+    with itself dropped; with ``n``, the first n in row order.  Columns
+    ``pair_idx`` (row * N + column in the dense user index), ``src``, ``dst``.
+    Followed pairs may be among them, as in the reference.
+
+    Nothing scans the N * N pairs: p N**2 rows are drawn.  With ``n``, only the
+    leading blocks are drawn, as many as it takes (each time twice as many).
+    Users without an id are dropped, repeated ones count once.
+    """
+    # written once: a reread must number the users alike
+    idx = materialize(dense_index(users.where(F.col("new_id").isNotNull()).select("new_id"), "new_id", "pos"),
+                      "users")
+    total = idx.count()
+    size = total * total
+    u = F.expr("idx div %d" % max(total, 1))
+    v = F.col("idx") % F.lit(max(total, 1))
+
+    def pairs(indices: DataFrame) -> DataFrame:
+        return indices.select(F.col("idx").alias("pair_idx"), u.alias("pu"), v.alias("pv")).where("pu <> pv")
+
+    if n is None:
+        drawn = pairs(bernoulli_indices(spark, size, p, seed))
+    else:
+        every = -(-size // block_length(p))
+        done, blocks, drawn, got = 0, max(1, math.ceil(n / 1024)), None, 0
+        while drawn is None or (got < n and done < every):
+            more = pairs(bernoulli_indices(spark, size, p, seed, first_block=done, blocks=blocks))
+            drawn = more if drawn is None else drawn.unionByName(more)
+            got, done, blocks = got + more.count(), done + blocks, 2 * blocks
+        drawn = drawn.orderBy("pair_idx").limit(n)
+    return (drawn.join(idx.select(F.col("pos").cast("bigint").alias("pu"), F.col("new_id").alias("src")), "pu")
+            .join(idx.select(F.col("pos").cast("bigint").alias("pv"), F.col("new_id").alias("dst")), "pv")
+            .select("pair_idx", "src", "dst"))
+
+
 def exclude_followed(cands: DataFrame, follows: DataFrame, user: str = "user_id",
                      other: str = "candidate") -> DataFrame:
     """Drop self and the candidates the user already follows (anti join)."""

@@ -348,6 +348,24 @@ def q_negative_samples(spark, sf):
     return SM.negative_samples(spark, t.users(), t.follows())
 
 
+# One block holds ceil(1024 / p) indices and its round 1024 + 12 * 32 + 32 draws (p = 0.001).
+@query("bernoulli_pairs", sql(["vtx"], """select i pair_idx, a.id src, b.id dst from drawn
+    join dx a on a.pos = drawn.i // (select n from sz) join dx b on b.pos = drawn.i % (select n from sz)
+    where a.pos <> b.pos""", extra={
+    "dx": "select id, row_number() over (order by id) - 1 pos from (select distinct id from vtx)",
+    "sz": "select count(*) n from dx",
+    "gaps": """select block, k, 1 + floor(ln((('0x' || substr(md5(block || '|' || k || '|42'), 1, 15))::BIGINT + 0.5)
+        / 1152921504606846976.0::double) / ln(0.999::double)) gap
+        from range(0, (select (n * n + 1023999) // 1024000 from sz)) b(block), range(0, 1440) r(k)""",
+    "places": "select block, cast(sum(gap) over (partition by block order by k) as bigint) - 1 as place from gaps",
+    "drawn": """select block * 1024000 + place i from places where place < 1024000
+        and block * 1024000 + place < (select n * n from sz)"""}))
+def q_bernoulli_pairs(spark, sf):
+    """I7 over all ordered pairs of users, p = 0.001."""
+    t = Tables(spark, sf)
+    return SM.bernoulli_pairs(spark, t.users())
+
+
 def _dataset(spark, t: Tables) -> DataFrame:
     """Labelled sample pairs (I2 + I3), written once and reused."""
     from linkrec.session import materialize as _mat

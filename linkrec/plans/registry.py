@@ -969,6 +969,14 @@ def q_features_scan(spark, sf):
     return FS.read_feature_lines(spark, p)
 
 
+@query("feature_map_scan", sql(["user_games"], "select new_id, game from user_games"))
+def q_feature_map_scan(spark, sf):
+    """A1 (the loader's own form): one JSON object of all feature lists, read in many tasks."""
+    p = scratch_path(spark, "feature-map")
+    FS.write_feature_map(Tables(spark, sf).user_features(), p)
+    return FS.read_feature_map(spark, p)
+
+
 @query("json_roundtrip", sql(["user_games"], """select new_id, cast(to_json(list_sort(list(game))) as varchar) features_json,
     len(list(game)) n_features from user_games group by new_id"""))
 def q_json_roundtrip(spark, sf):

@@ -1,9 +1,8 @@
 """File readers of the loaders (A1-A3) with the loaders' parse rules.
 
 Schemas are declared (no inference).  CSV and JSON-lines inputs are split
-across tasks by Spark; the single-object JSON feature map is one document by
-its format, so it is read whole once and should be converted to parquet (or
-JSON lines, ``read_feature_lines``) upstream for large inputs.
+across tasks by Spark, and so is the single-object JSON feature map: its records
+end at the closing bracket of each list.
 """
 
 from __future__ import annotations
@@ -45,13 +44,51 @@ def read_edges_csv(spark: SparkSession, path: str, lenient: bool = False) -> Dat
                       to_int(F.col("to")).cast("bigint").alias("dst"))
 
 
+# One record of the feature map, cut at the closing bracket of its list.
+_MAP_RECORD = r'^\s*[{,]\s*"\s*(-?[0-9]+)\s*"\s*:\s*\[([\s0-9,-]*)$'
+_MAP_END = r"^\s*(\{\s*)?\}?\s*$"
+_INT_LIST = r"^\s*(-?[0-9]+\s*(,\s*-?[0-9]+\s*)*)?$"
+
+
 def read_feature_map(spark: SparkSession, path: str) -> DataFrame:
     """A1: one JSON object ``{"<user id>": [game, ...], ...}`` -> long form
-    ``(new_id, game)``; the key text becomes the integer id."""
-    doc = spark.read.text(path, wholetext=True)
-    m = doc.select(F.from_json("value", "map<string,array<bigint>>").alias("m"))
-    return (m.select(F.explode("m").alias("k", "games"))
-            .select(F.col("k").cast("bigint").alias("new_id"), F.explode_outer("games").alias("game")))
+    ``(new_id, game)``; the key text becomes the integer id.
+
+    The text is split at ``]``, which in this form only ends a list, so Spark
+    reads a large object (one file, or part files that make it up in name order)
+    in many tasks, whatever its line breaks.  A user with an empty list gives
+    one row with a null game; an empty object or file gives no rows.  A record
+    of any other form (a list in a list, a text, a cut-off file) stops the job
+    with an error.
+    """
+    rec = spark.read.option("lineSep", "]").text(path)
+    text = F.regexp_extract("value", _MAP_RECORD, 2)
+    good = F.col("value").rlike(_MAP_RECORD) & text.rlike(_INT_LIST)
+    bad = F.concat(F.lit("not a feature-map record: "), F.substring("value", 1, 200))
+    key = F.when(good, F.regexp_extract("value", _MAP_RECORD, 1).cast("bigint")).otherwise(
+        F.raise_error(bad).cast("bigint"))
+    games = F.filter(F.split(text, r"\s*,\s*"), lambda x: F.trim(x) != "")
+    return (rec.where(~F.col("value").rlike(_MAP_END))
+            .select(key.alias("new_id"), F.transform(games, lambda x: F.trim(x).cast("bigint")).alias("games"))
+            .select("new_id", F.explode_outer("games").alias("game")))
+
+
+def write_feature_map(features: DataFrame, path: str) -> None:
+    """``(new_id, features)`` as part files that make up one JSON object in name
+    order: sorted by id, every part written by its own task.  Rows without an id
+    are dropped; a null list becomes an empty one."""
+    f = features.where(F.col("new_id").isNotNull()).select(F.col("new_id").cast("bigint").alias("new_id"), "features")
+    first = f.agg(F.min("new_id")).first()[0]
+    if first is None:
+        f.sparkSession.range(1).select(F.lit("{}")).coalesce(1).write.text(path)
+        return
+    games = F.concat_ws(", ", F.transform(F.coalesce("features", F.array()), lambda x: x.cast("string")))
+    body = F.concat(F.when(F.col("new_id") == first, "{").otherwise(","), F.lit('"'), F.col("new_id").cast("string"),
+                    F.lit('": ['), games, F.lit("]"))
+    rows = f.select("new_id", body.alias("value")).union(
+        f.sparkSession.range(1).select(F.lit(None).cast("bigint"), F.lit("}")))
+    order = F.col("new_id").asc_nulls_last()
+    rows.repartitionByRange(order).sortWithinPartitions(order).select("value").write.text(path)
 
 
 def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -15,10 +15,13 @@ stream and the daily batch agree (L6).
 from __future__ import annotations
 
 import os
+import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from linkrec.operators.interactions import PAIR, weighted_events
 from linkrec.operators.writes import KeyedDeltaTable
@@ -33,6 +36,13 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
+# The running scores are kept on local disk and their changes in the checkpoint,
+# so the state of all pairs need not fit into the executors' heap.
+STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+PROGRESS_EVERY = 50
+
+
 def kafka_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """A5: subscribe from the earliest offset; offsets live in the query's
     checkpoint (the consumer group's role).  Needs the Kafka connector jar."""
@@ -104,27 +114,97 @@ def quarantine_sink(path: str):
     return write
 
 
+class EventProgress(StreamingQueryListener):
+    """L4: counts the events of the scoring query and reports
+    ``report(count, latest)`` whenever the count passes a multiple of ``every``;
+    ``latest`` is the (ts, user_id, action, target_user_id) row of the latest good
+    event of that batch (None if it had none).
+
+    Every micro-batch is added up, however many there are; a batch that is
+    replayed after a restart counts once.  ``last_report`` keeps the last one.
+    """
+
+    def __init__(self, every: int = PROGRESS_EVERY, report: Callable | None = None):
+        self.every, self.report = every, report
+        self.total, self.last_report, self._seen = 0, None, {}
+        self._ended, self._change = set(), threading.Condition()
+
+    def add(self, query_id: str, batch_id: int, rows: int, latest=None) -> None:
+        if batch_id <= self._seen.get(query_id, -1) or not rows:
+            return
+        self._seen[query_id] = batch_id
+        before, self.total = self.total, self.total + rows
+        passed = self.total // self.every * self.every
+        if passed > before:
+            self.last_report = (passed, latest)
+            if self.report is not None:
+                self.report(passed, latest)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        seen = p.observedMetrics.get("events")
+        if seen is not None:
+            self.add(str(p.id), p.batchId, p.numInputRows, seen["latest"])
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._change:
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
+
+    def wait(self, query, timeout: float = 30.0) -> bool:
+        """Progress arrives after its batch: true once the ended query's last report is in."""
+        with self._change:
+            return self._change.wait_for(lambda: str(query.runId) in self._ended, timeout)
+
+
+def observed(events: DataFrame) -> DataFrame:
+    """The decoded events, with the latest good one reported to the listeners."""
+    good = F.when(~F.col("_bad"), F.struct("ts", "user_id", "action", "target_user_id"))
+    return events.observe("events", F.max(good).alias("latest"))
+
+
 def run_score_stream(spark: SparkSession, raw: DataFrame, out_base: str, checkpoint: str,
-                     users: DataFrame | None = None, available_now: bool = True):
+                     users: DataFrame | None = None, available_now: bool = True,
+                     state_provider: str = STATE_PROVIDER, progress: EventProgress | None = None):
     """Start (and, with ``available_now``, finish) the scoring query plus the
-    quarantine query.  Returns the sink (its tables hold the results)."""
+    quarantine query.  Returns the sink (its tables hold the results).  A query
+    that is started again keeps the state provider its checkpoint names."""
     ev = decode(raw)
     sink = ScoreSink(spark, out_base, users)
-    w = (running_scores(ev).writeStream.outputMode("update").foreachBatch(sink)
+    w = (running_scores(observed(ev)).writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", os.path.join(checkpoint, "scores")))
     qw = (ev.writeStream.outputMode("append").foreachBatch(quarantine_sink(os.path.join(out_base, "quarantine")))
           .option("checkpointLocation", os.path.join(checkpoint, "quarantine")))
     if available_now:
         w, qw = w.trigger(availableNow=True), qw.trigger(availableNow=True)
-    q1, q2 = w.start(), qw.start()
+    if progress is not None:
+        spark.streams.addListener(progress)
+    # a query copies the session's settings as it starts
+    before = spark.conf.get(_PROVIDER_KEY)
+    spark.conf.set(_PROVIDER_KEY, state_provider)
+    try:
+        q1 = w.start()
+    finally:
+        spark.conf.set(_PROVIDER_KEY, before)
+    q2 = qw.start()
     if available_now:
         q1.awaitTermination()
         q2.awaitTermination()
+        if progress is not None:
+            progress.wait(q1)
+            spark.streams.removeListener(progress)
     return sink, (q1, q2)
 
 
 def input_rows(query) -> int:
-    """L4: events processed so far, from the query's progress reports."""
+    """Events in the progress reports that a query still holds (the last 100
+    batches); ``EventProgress`` counts all."""
     return sum(p.get("numInputRows", 0) for p in query.recentProgress)
 
 

@@ -1,5 +1,6 @@
 """Parse rules, readers and keyed writes (FIXTURES.md §3 edge cases)."""
 
+import pytest
 import os
 
 from pyspark.sql import functions as F
@@ -62,3 +63,41 @@ def test_batch_jaccard_golden(spark):
     j = {(r.user_a, r.user_b): r.jaccard_score for r in batch_jaccard(inter).collect()}
     assert list(j) == [(1, 2)] and abs(j[(1, 2)] - 1 / 3) < 1e-9      # (1,3), (2,3) disjoint -> not stored
     assert [(r.user_a, r.user_b) for r in strong_similar_pairs(batch_jaccard(inter)).collect()] == [(1, 2)]
+
+
+def test_feature_map_is_split_and_keeps_every_list(spark, tmp_path):
+    import json
+    from linkrec.sources import files as FS
+    want = {i: [i % 7, -i, 10 ** 12 + i] if i % 5 else [] for i in range(3000)}
+    expect = sorted((k, g) for k, v in want.items() for g in v) + [(k, None) for k, v in want.items() if not v]
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    key = lambda r: (r[1] is None, r[0], r[1] or 0)
+    for indent in (None, 2):
+        p = tmp_path / f"map{indent}.json"
+        p.write_text(json.dumps({str(k): v for k, v in want.items()}, indent=indent))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        try:
+            df = FS.read_feature_map(spark, str(p))
+            assert df.select(F.spark_partition_id()).distinct().count() > 4
+            assert sorted(map(tuple, df.collect()), key=key) == sorted(expect, key=key)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_feature_map_round_trip_empty_and_bad(spark, tmp_path):
+    import json
+    from linkrec.sources import files as FS
+    lists = spark.createDataFrame([(5, [3, 1]), (2, []), (9, None), (None, [1]), (-4, [7])],
+                                  "new_id long, features array<long>")
+    FS.write_feature_map(lists, str(tmp_path / "m"))
+    text = "".join(f.read_text() for f in sorted((tmp_path / "m").glob("part-*")))
+    assert json.loads(text) == {"-4": [7], "2": [], "5": [3, 1], "9": []}
+    got = sorted(map(tuple, FS.read_feature_map(spark, str(tmp_path / "m")).collect()), key=str)
+    assert got == sorted([(-4, 7), (2, None), (5, 3), (5, 1), (9, None)], key=str)
+    FS.write_feature_map(lists.limit(0), str(tmp_path / "none"))
+    assert FS.read_feature_map(spark, str(tmp_path / "none")).count() == 0
+    for i, bad in enumerate(['{"a": [1]}', '{"1": [1, "x"]}', '{"1": [[1]]}', '{"1": [1, 2']):
+        p = tmp_path / f"bad{i}.json"
+        p.write_text(bad)
+        with pytest.raises(Exception):
+            FS.read_feature_map(spark, str(p)).collect()

@@ -90,3 +90,42 @@ def test_delta_table_compaction_and_replay(spark, tmp_path):
     assert t.base.versions() == [1, 3]                  # compacted after batches 1 and 3
     t.apply(spark.createDataFrame(batches[3], schema), 3)   # replay of a compacted batch
     assert {r.k: r.v for r in t.current().collect()} == exp
+
+
+def test_progress_counts_every_batch_and_reports_each_fifty(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    ev = lambda i: json.dumps({"user_id": i, "action": "follow", "target_user_id": i + 1, "timestamp": float(i)})
+    for f in range(6):
+        _write(src, f"{f}.json", [ev(20 * f + i) for i in range(20)] + ["{bad"])
+    seen = []
+    prog = ST.EventProgress(report=lambda n, latest: seen.append((n, latest["user_id"])))
+    raw = ST.json_file_source(spark, str(src), files_per_trigger=1)
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    _, (q, _) = ST.run_score_stream(spark, raw, out, ck, progress=prog)
+    assert prog.total == 126 == ST.input_rows(q)
+    assert [n for n, _ in seen] == [50, 100] and prog.last_report[0] == 100
+    # a restart goes on: what was counted is not counted again
+    _write(src, "new.json", [ev(500 + i) for i in range(30)])
+    ST.run_score_stream(spark, ST.json_file_source(spark, str(src)), out, ck, progress=prog)
+    assert prog.total == 156 and seen[-1] == (150, 529)
+
+
+def test_progress_adds_up_more_than_a_hundred_batches_and_replays():
+    prog = ST.EventProgress()
+    for b in range(250):
+        prog.add("q", b, 3)
+    prog.add("q", 249, 3)                      # replayed
+    prog.add("other", 0, 1)
+    assert prog.total == 751 and prog.last_report == (750, None)
+
+
+def test_state_is_kept_outside_the_heap(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    _write(src, "a.json", [json.dumps(e) for e in EVENTS])
+    before = spark.conf.get(ST._PROVIDER_KEY)
+    _, (q, _) = ST.run_score_stream(spark, ST.json_file_source(spark, str(src)), str(tmp_path / "o"), str(tmp_path / "c"))
+    metrics = q.recentProgress[0]["stateOperators"][0]["customMetrics"]
+    assert any(k.startswith("rocksdb") for k in metrics)
+    assert spark.conf.get(ST._PROVIDER_KEY) == before

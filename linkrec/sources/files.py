@@ -50,7 +50,7 @@ _MAP_END = r"^\s*(\{\s*)?\}?\s*$"
 _INT_LIST = r"^\s*(-?[0-9]+\s*(,\s*-?[0-9]+\s*)*)?$"
 
 
-def read_feature_map(spark: SparkSession, path: str) -> DataFrame:
+def read_feature_map(spark: SparkSession, path: str, check_end: bool = True) -> DataFrame:
     """A1: one JSON object ``{"<user id>": [game, ...], ...}`` -> long form
     ``(new_id, game)``; the key text becomes the integer id.
 
@@ -58,10 +58,15 @@ def read_feature_map(spark: SparkSession, path: str) -> DataFrame:
     reads a large object (one file, or part files that make it up in name order)
     in many tasks, whatever its line breaks.  A user with an empty list gives
     one row with a null game; an empty object or file gives no rows.  A record
-    of any other form (a list in a list, a text, a cut-off file) stops the job
-    with an error.
+    of any other form (a list in a list, a text) stops the job with an error.
+    A cut-off text can only be told by its missing closing brace: ``check_end``
+    looks for it in one more pass over the text and raises ValueError.
     """
     rec = spark.read.option("lineSep", "]").text(path)
+    if check_end:
+        closed = F.max(F.col("value").rlike(r"\}\s*$"))
+        if rec.where(F.trim("value") != "").agg(closed).first()[0] is False:
+            raise ValueError(f"{path}: the feature map has no closing brace")
     text = F.regexp_extract("value", _MAP_RECORD, 2)
     good = F.col("value").rlike(_MAP_RECORD) & text.rlike(_INT_LIST)
     bad = F.concat(F.lit("not a feature-map record: "), F.substring("value", 1, 200))

@@ -14,13 +14,15 @@ row is indexed.  Identical vectors are one node with its count.  Lists are cut
 into blocks of members and of queries, so no task holds a whole list, and a
 block pair returns counts and the edges of a spanning forest, never all pairs.
 
-Edge cases: vectors that are null, empty, zero, hold null or non-finite components or
-differ from the commonest length link with nothing and are their own component;
-rows that repeat a vec_id with the same vector are one vector; rows without a vec_id keep a null component.
+Edge cases: vectors that are null, empty, zero, hold null or non-finite components
+link with nothing and are their own component; vectors of each length are indexed apart and link with none of
+another length; huge and tiny vectors are scaled first, so their squares stay in the range of doubles; rows that repeat a vec_id with the same vector are one vector; rows without a vec_id keep a null component.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -150,23 +152,40 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, probes: int = PROBE
     small_batches(spark, 4096)
     raw = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"),
                          F.col("embedding").cast("array<double>").alias("v"))
-    dims = raw.where(F.size("v") > 0).groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("c"))
-    top = dims.orderBy(F.desc("c"), "d").first()
     out = raw.select("vec_id").withColumns({"n_links": F.lit(0).cast("bigint"), "component_id": F.col("vec_id")})
-    if top is None:
-        return out.withColumn("kept", F.lit(True))
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    fine = (F.col("vec_id").isNotNull() & (F.size("v") == top["d"])
+    fine = (F.col("vec_id").isNotNull()
             & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    unit = (raw.where(fine).withColumn("l", length).where((F.col("l") > 0) & (F.col("l") < float("inf")))
-            .select("vec_id", F.transform("v", lambda x: x / F.col("l")).alias("unit")).distinct())
+    # squares of huge or tiny components leave the range of doubles: such a vector is divided by its largest one first
+    plain = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    high = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    scale = F.when((plain > 1e-140) & (plain < float("inf")), F.lit(1.0)).otherwise(F.col("high"))
+    scaled = (raw.where(fine).withColumn("high", high).where("high > 0").withColumn("scale", scale)
+              .withColumn("v", F.transform("v", lambda x: x / F.col("scale"))))
+    unit = (scaled.withColumn("l", plain)
+            .select("vec_id", F.size("v").alias("d"), F.transform("v", lambda x: x / F.col("l")).alias("unit")).distinct())
+    every = materialize(unit, "units")
+    # vectors of different length have no cosine: each length has its own index
+    lengths = [r["d"] for r in every.select("d").distinct().orderBy("d").collect()]
+    if not lengths:
+        return out.withColumn("kept", F.lit(True))
+    per = reduce(DataFrame.unionByName,
+                 [_linked(every.where(F.col("d") == d).drop("d"), threshold, probes, sample) for d in lengths])
+    # an id with several vectors has the links of all, and the smallest component
+    per = per.groupBy(F.col("vec_id").alias("_id")).agg(
+        F.sum("_links").alias("_links"), F.min("_component").alias("_component"))
+    return (out.join(per, F.col("vec_id") == F.col("_id"), "left")
+            .select("vec_id", F.coalesce("_links", "n_links").alias("n_links"),
+                    F.coalesce("_component", "component_id").alias("component_id"))
+            .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
+
+
+def _linked(unit: DataFrame, threshold: float, probes: int, sample: int) -> DataFrame:
+    """(vec_id, _links, _component) of unit vectors (vec_id, unit) of one length, at least one row."""
     ids = materialize(unit.withColumn("same", F.md5(F.to_json("unit"))), "vectors")
     nodes = materialize(ids.groupBy("same").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"),
                                                 F.first("unit").alias("unit")), "vector_nodes")
     n = nodes.count()
     rows = nodes.orderBy(hash52("node"), "node").limit(sample).select("unit").collect()
-    if not rows:
-        return out.withColumn("kept", F.lit(True))
     fitted = fit_index(np.array([r["unit"] for r in rows]), max(1, min(MAX_LISTS, len(rows) // 4, n // LIST_ROWS)))
     coded = materialize(nodes.mapInPandas(_assign(fitted, probes), "node long, copies long, unit array<double>, list int, "
                                           "probes array<int>, codes array<short>, error double"), "codes")
@@ -190,10 +209,4 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, probes: int = PROBE
            .join(comp.withColumnRenamed("node", "_n"), "_n", "left")
            .select("same", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("_links"),
                    F.coalesce("component", "_n").alias("_component")))
-    # an id with several vectors has the links of all, and the smallest component
-    per = ids.join(per, "same").groupBy(F.col("vec_id").alias("_id")).agg(
-        F.sum("_links").alias("_links"), F.min("_component").alias("_component"))
-    return (out.join(per, F.col("vec_id") == F.col("_id"), "left")
-            .select("vec_id", F.coalesce("_links", "n_links").alias("n_links"),
-                    F.coalesce("_component", "component_id").alias("component_id"))
-            .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
+    return ids.join(per, "same").select("vec_id", "_links", "_component")

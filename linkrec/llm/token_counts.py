@@ -103,27 +103,58 @@ class CountedText:
         return out
 
     def edit(self, edits) -> tuple[int, int]:
-        """Token count after the edits, and how many characters were encoded for it.
-        A region's new text is one leaf's count; its other leaves become 0."""
+        """Applies the edits: the token count after them, and how many characters were encoded for it.
+        Text, segments and tree are those of the edited text then, so further edits may follow."""
         edits = sorted(edits)
         if not edits:
             return self.tokens, 0
         if not self.starts:
-            new = "".join(r for _, _, r in edits)
-            return (self.count([new])[0] if new else 0), len(new)
-        texts, regions = [], self._regions(edits)
+            self.__init__("".join(r for _, _, r in edits), self.count)
+            return self.tokens, len(self.text)
+        regions, texts = self._regions(edits), []
         for i, j, own in regions:
             at, end, parts = self.starts[i], self.starts[j + 1] if j + 1 < len(self.starts) else len(self.text), []
             for s, e, new in own:
                 parts += [self.text[at:s], new]
                 at = e
             texts.append("".join([*parts, self.text[at:end]]))
-        for (i, j, _), n in zip(regions, self.count(texts)):
-            update(self.tree, i, n)
-            for k in range(i + 1, j + 1):
-                update(self.tree, k, 0)
+        self._replace(regions, texts)
         return self.tokens, sum(map(len, texts))
 
+    def _replace(self, regions, texts: list[str]) -> None:
+        """Puts the new texts in the regions' places; only these are cut and encoded."""
+        inner = [cuts(t) for t in texts]
+        counts = iter(self.count([t[x:y] for t, own in zip(texts, inner) for x, y in zip(own, [*own[1:], len(t)])]))
+        size = len(self.tree) // 2
+        fits = all(j - i + 1 == len(own) for (i, j, _), own in zip(regions, inner))
+        starts, leaves, parts, at, seg = [], [], [], 0, 0
+
+        def keep(to: int) -> None:
+            """The segments seg .. to - 1 stay, moved to where the new text has come to."""
+            nonlocal at, seg
+            if seg < to:
+                first, end = self.starts[seg], self.starts[to] if to < len(self.starts) else len(self.text)
+                starts.extend(x - first + at for x in self.starts[seg:to])
+                leaves.extend(self.tree[size + seg:size + to])
+                parts.append(self.text[first:end])
+                at, seg = at + end - first, to
+
+        for (i, j, _), text, own in zip(regions, texts, inner):
+            keep(i)
+            new = [next(counts) for _ in own]
+            starts.extend(x + at for x in own)
+            leaves.extend(new)
+            parts.append(text)
+            at, seg = at + len(text), j + 1
+            if fits:
+                for k, n in enumerate(new):
+                    update(self.tree, i + k, n)
+        keep(len(self.starts))
+        self.text, self.starts = "".join(parts), starts
+        if not fits:
+            # another number of leaves: the sums are added up again, nothing more is encoded
+            self.tree = build(leaves)
+
 
 _REDACT = re.compile(r"[0-9][0-9 .()-]{6,}[0-9]|[A-Za-z0-9._+-]{1,64}@[A-Za-z0-9.-]{3,255}")
 

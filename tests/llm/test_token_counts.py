@@ -48,3 +48,35 @@ def test_rows(spark):
     assert got[1].n_tokens_edited == len(enc.encode_ordinary("call [redacted] now"))
     assert got[2].n_tokens == got[3].n_tokens == 0 and redactions(None) == []
     assert token_counts(df.limit(0)).count() == 0
+
+
+def test_batches_of_edits_follow_one_another():
+    import random
+    from linkrec.llm.token_counts import CountedText, VOCABULARY, build, load_encoder
+    encoder = load_encoder(VOCABULARY)
+    sizes = []
+
+    def count(parts):
+        sizes.append(sum(map(len, parts)))
+        return [len(encoder.encode_ordinary(p)) for p in parts]
+
+    r = random.Random(11)
+    words = ["alpha", "Beta's", "12", "don't", "été", "x", "  ", "\n", "日本", "end.", "a b c"]
+    for length in (0, 3, 400, 3000):
+        text = " ".join(r.choice(words) for _ in range(length))
+        doc = CountedText(text, count)
+        for _ in range(12):
+            places = sorted(r.sample(range(len(text) + 1), min(6, (len(text) + 1) // 2 * 2)))
+            edits = [(s, e, r.choice(["", "new words here", " ", "Z", "word " * 300]))
+                     for s, e in zip(places[::2], places[1::2])] or [(0, 0, "first words")]
+            for s, e, new in reversed(edits):
+                text = text[:s] + new + text[e:]
+            del sizes[:]
+            tokens, encoded = doc.edit(edits)
+            assert doc.text == text and tokens == doc.tokens == len(encoder.encode_ordinary(text))
+            assert sum(sizes) == encoded
+            leaves = len(doc.tree) // 2
+            assert doc.tree == build(doc.tree[leaves:leaves + max(len(doc.starts), 0)])
+            assert doc.starts == sorted(set(doc.starts)) and (not text or doc.starts[0] == 0)
+        assert doc.edit([(0, len(text), "")])[0] == 0 and doc.text == "" and doc.starts == []
+        assert doc.edit([(0, 0, "again here")])[0] == len(encoder.encode_ordinary("again here"))

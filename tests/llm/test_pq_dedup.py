@@ -45,8 +45,8 @@ def test_every_length_and_magnitude_links(spark):
     assert got[200] == (1, 200, True) and got[201] == (1, 200, False)
 
 
-def test_ties_at_the_threshold_are_links(spark):
-    # cosines of small whole vectors: 9 / 10 exactly at the threshold, 8 / 9 below it
+def test_cosines_just_beside_the_threshold(spark):
+    # the cosine of 1 and 2 is 9 / 10: a link for a threshold just below it, none for one just above
     rows = [(1, [3.0, 1.0, 0.0]), (2, [3.0, 0.0, 1.0]), (3, [0.0, 2.0, -2.0]), (4, [0.0, 2.0, -2.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     n = {r.vec_id: r.n_links for r in near_vectors(df, threshold=0.9 - 1e-12).collect()}

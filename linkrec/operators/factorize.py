@@ -5,8 +5,8 @@ Thick-restarted block Lanczos from a random start, written on DataFrames:
 * A is the long table ``(i, j, a)`` of the follow matrix (duplicates summed,
   as a sparse-matrix build sums them); dense n x r blocks are one array of r
   doubles per row;
-* ``A @ Z``: join the edges with Z's rows on j, scale, and sum the arrays per
-  i with ``Summarizer.sum`` (partial sums before the shuffle) -- same for Aᵀ;
+* ``A @ Z``: join the edges with Z's rows on j, scale, and sum per i, one column
+  a component (hash aggregation, partial sums before the shuffle) -- same for Aᵀ;
 * orthonormalisation: the r x r Gram matrix is summed from per-partition
   partial products (``mapInPandas``), eigen-decomposed on the driver (r x r
   only, r = k + oversampling) and applied row-wise with a pandas UDF;
@@ -45,22 +45,24 @@ def _sum_rows(df: DataFrame, key: str, vec: str) -> DataFrame:
             .select(F.col(key), vector_to_array("_s").alias("vec")))
 
 
-def _scaled(vec: str, a: str):
-    return F.transform(F.col(vec), lambda x: x * F.col(a))
+def _product(A: DataFrame, Z: DataFrame, width: int, left: str, right: str) -> DataFrame:
+    """Rows ``(id, vec)`` of A @ Z by A's column ``right``, or of its transpose by swapped names.  Every
+    component is a column of its own, so the sums run in the generated hash aggregation, on
+    buffers of fixed size, partial before the shuffle."""
+    z = Z.select(F.col("id").alias(right), *[F.col("vec")[c].alias(f"_z{c}") for c in range(width)])
+    sums = [F.sum(F.col("a") * F.col(f"_z{c}")).alias(f"_s{c}") for c in range(width)]
+    return (A.join(z, right).groupBy(left).agg(*sums)
+            .select(F.col(left).alias("id"), F.array(*[f"_s{c}" for c in range(width)]).alias("vec")))
 
 
-def a_times(A: DataFrame, Z: DataFrame) -> DataFrame:
-    """(A @ Z) rows ``(i, vec)`` for Z rows ``(j, vec)``."""
-    z = Z.select(F.col("id").alias("j"), F.col("vec").alias("_z"))
-    return _sum_rows(A.join(z, "j").select("i", _scaled("_z", "a").alias("_v")), "i", "_v") \
-        .withColumnRenamed("i", "id")
+def a_times(A: DataFrame, Z: DataFrame, width: int) -> DataFrame:
+    """(A @ Z) rows ``(id, vec)`` for Z rows ``(id, vec)`` of ``width`` components."""
+    return _product(A, Z, width, "i", "j")
 
 
-def at_times(A: DataFrame, Q: DataFrame) -> DataFrame:
-    """(Aᵀ @ Q) rows ``(j, vec)`` for Q rows ``(i, vec)``."""
-    q = Q.select(F.col("id").alias("i"), F.col("vec").alias("_q"))
-    return _sum_rows(A.join(q, "i").select("j", _scaled("_q", "a").alias("_v")), "j", "_v") \
-        .withColumnRenamed("j", "id")
+def at_times(A: DataFrame, Q: DataFrame, width: int) -> DataFrame:
+    """(Aᵀ @ Q) rows ``(id, vec)`` for Q rows ``(id, vec)`` of ``width`` components."""
+    return _product(A, Q, width, "j", "i")
 
 
 def _small_sum(df: DataFrame, product, rows: int) -> np.ndarray:
@@ -158,15 +160,15 @@ def randomized_svd(A: DataFrame, k: int, oversample: int = 10, tol: float = 1e-5
     omega = rows.select("id", F.transform(F.sequence(F.lit(0), F.lit(r - 1)), lambda c: F.when(
         F.pmod(F.xxhash64(F.col("id"), c, F.lit(seed)), F.lit(2)) == 0, F.lit(1.0)).otherwise(F.lit(-1.0)))
         .alias("vec"))
-    Y = materialize(a_times(A, omega), "svd-y")
+    Y = materialize(a_times(A, omega, r), "svd-y")
     K, r = orthonormalise(Y, gram(Y, r), "svd-k")
     if K is None:
         raise ValueError("a matrix without entries has no singular triplets")
     H, M = np.zeros((0, 0)), np.zeros((0, 0))              # K'AA'K and K'K, but for the last block's rows and columns
     for _ in range(max_blocks):
         width = len(H) + r
-        Z = materialize(at_times(A, K.select("id", F.slice("vec", width - r + 1, r).alias("vec"))), "svd-z")
-        both = materialize(K.select("id", F.col("vec").alias("k")).join(a_times(A, Z), "id"), "svd-y")
+        Z = at_times(A, K.select("id", F.slice("vec", width - r + 1, r).alias("vec")), r)
+        both = materialize(K.select("id", F.col("vec").alias("k")).join(a_times(A, Z, r), "id"), "svd-y")
         own, C, G = _inner_products(both, width, r)
         H, M = _bordered(H, C, r), _bordered(M, own, r)
         m, T = np.linalg.eigh(M)
@@ -193,7 +195,7 @@ def randomized_svd(A: DataFrame, k: int, oversample: int = 10, tol: float = 1e-5
         raise RuntimeError(f"no {k} singular triplets within {tol} after {max_blocks} blocks")
     s = np.sqrt(w[:kk])
     U = materialize(times_small(K, E[:, :kk]), "svd-u")
-    return U, s, materialize(times_small(at_times(A, U), np.diag(1 / s)), "svd-v")
+    return U, s, materialize(times_small(at_times(A, U, kk), np.diag(1 / s)), "svd-v")
 
 
 def _bordered(old: np.ndarray, columns: np.ndarray, r: int) -> np.ndarray:

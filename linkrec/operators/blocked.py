@@ -4,8 +4,8 @@ Content cosine and factor scores are dense: almost every user pair has a
 non-zero score, so an inverted index does not help and the n x n matrix must
 never exist.  Users are hashed into ``nb`` blocks; the left copy of a row is
 sent to every block pair (i, *), the right copy to every (*, j); each
-co-group (i, j) is one task that builds two small dense blocks in numpy,
-multiplies them and keeps only what is needed:
+co-group (i, j) is one task that multiplies two blocks in numpy (content rows
+dense, factor rows by their entries) and keeps only what is needed:
 
 * pass 1 (hybrid only): per user, min and max of each score over the block,
   reduced by ``groupBy(user)`` -- the per-user min-max normalisation needs
@@ -52,13 +52,77 @@ def _dense(idx_series, val_series, dim: int) -> np.ndarray:
     return m
 
 
-def _scores(lp: pd.DataFrame, rp: pd.DataFrame, dims: tuple[int, int]):
-    """(content cosine, factor score) blocks for left x right."""
-    lc = _dense(lp["c_idx"], lp["c_val"], dims[0])
-    rc = _dense(rp["c_idx"], rp["c_val"], dims[0])
-    lf = _dense(lp["f_idx"], lp["f_val"], dims[1])
-    rf = _dense(rp["f_idx"], rp["f_val"], dims[1])
-    return lc @ rc.T, lf @ rf.T
+def _entries(idx_series, val_series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse rows -> flat (row, column, value), ordered by column, then row."""
+    idx = [_NO_IDX if x is None else x for x in idx_series]
+    val = [_NO_VAL if x is None else x for x in val_series]
+    row = np.repeat(np.arange(len(idx)), np.fromiter(map(len, idx), dtype=np.int64, count=len(idx)))
+    col = np.concatenate([_NO_IDX, *idx]).astype(np.int64)
+    order = np.argsort(col, kind="stable")
+    return row[order], col[order], np.concatenate([_NO_VAL, *val])[order]
+
+
+DENSE_GAIN = 16            # a multiply-add of a dense product is so many times cheaper than one by index
+PAIRS_AT_ONCE = 4_000_000
+
+
+def sparse_product(left: tuple, right: tuple, shape: tuple[int, int]) -> np.ndarray:
+    """L Rᵀ of two blocks of sparse rows (``_entries``), whatever the width of the rows.
+
+    Only columns with entries on both sides count.  A column of l and r entries costs
+    l * r by index and all of ``shape`` in a dense product, and goes the cheaper
+    way; the dense matrices are at most ``DENSE_GAIN`` times the mean row's entries wide."""
+    (lr, lc, lv), (rr, rc, rv) = left, right
+    cols = np.intersect1d(lc, rc)
+    out = np.zeros(shape)
+    if not len(cols):
+        return out
+    lstart, rstart = np.searchsorted(lc, cols), np.searchsorted(rc, cols)
+    ln, rn = np.searchsorted(lc, cols, "right") - lstart, np.searchsorted(rc, cols, "right") - rstart
+    heavy = ln * rn * DENSE_GAIN > out.size
+    if heavy.any():
+        dense = []
+        for (row, col, val), n in ((left, shape[0]), (right, shape[1])):
+            at = np.minimum(np.searchsorted(cols[heavy], col), heavy.sum() - 1)
+            take = cols[heavy][at] == col
+            m = np.zeros((n, int(heavy.sum())))
+            np.add.at(m, (row[take], at[take]), val[take])
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    # light columns: each left entry meets the right entries of its column
+    at = np.repeat(np.flatnonzero(~heavy), ln[~heavy])
+    entry = np.flatnonzero(np.isin(lc, cols[~heavy]))
+    ends = np.cumsum(rn[at])
+    done = 0
+    while done < len(entry):
+        upto = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + PAIRS_AT_ONCE, "right")))
+        e, n = entry[done:upto], rn[at[done:upto]]
+        first = np.repeat(rstart[at[done:upto]] - (np.cumsum(n) - n), n)
+        other, mine = first + np.arange(n.sum()), np.repeat(e, n)
+        out += np.bincount(lr[mine] * shape[1] + rr[other], lv[mine] * rv[other], out.size).reshape(shape)
+        done = upto
+    return out
+
+
+def _content(lp: pd.DataFrame, rp: pd.DataFrame, width: int) -> np.ndarray:
+    """Content cosines of left x right."""
+    return _dense(lp["c_idx"], lp["c_val"], width) @ _dense(rp["c_idx"], rp["c_val"], width).T
+
+
+def _factor(lp: pd.DataFrame, rp: pd.DataFrame) -> np.ndarray:
+    """Factor scores of left x right."""
+    return sparse_product(_entries(lp["f_idx"], lp["f_val"]), _entries(rp["f_idx"], rp["f_val"]), (len(lp), len(rp)))
+
+
+def best_columns(scores: np.ndarray, k: int) -> np.ndarray:
+    """Mask of the k best entries of each row, of equal ones the first (-inf counts as an entry)."""
+    n = scores.shape[1]
+    if k >= n:
+        return np.ones(scores.shape, dtype=bool)
+    kth = np.partition(scores, n - k, axis=1)[:, n - k, None]
+    more, equal = scores > kth, scores == kth
+    room = k - more.sum(axis=1, keepdims=True)
+    return more | (equal & (np.cumsum(equal, axis=1, dtype=np.int32) <= room))
 
 
 def _prepare(rows: DataFrame, nb: int, side: str) -> DataFrame:
@@ -94,7 +158,7 @@ def user_minmax(left: DataFrame, right: DataFrame, dims: tuple[int, int], nb: in
     def f(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if lp.empty or rp.empty:
             return pd.DataFrame(columns=["id", "cmin", "cmax", "smin", "smax"])
-        c, s = _scores(lp, rp, dims)
+        c, s = _content(lp, rp, dims[0]), _factor(lp, rp)
         self_mask = lp["id"].to_numpy()[:, None] == rp["id"].to_numpy()[None, :]
         cm = np.where(self_mask, np.inf, c)
         cx = np.where(self_mask, -np.inf, c)
@@ -115,7 +179,8 @@ def blocked_topk(left: DataFrame, right: DataFrame, dims: tuple[int, int], k: in
 
     ``mode``: "content" ranks by the cosine, "factor" by the factor score,
     "hybrid" by alpha * norm(content) + (1 - alpha) * norm(factor) with the
-    per-user min-max of pass 1.  ``exclude(src, dst)``: pairs never
+    per-user min-max of pass 1; a score that the mode does not use is neither
+    computed nor filled.  ``exclude(src, dst)``: pairs never
     recommended (already followed).  Output ``alpha, user_id,
     recommended_user, score, content, factor, rank``.
     """
@@ -139,40 +204,28 @@ def blocked_topk(left: DataFrame, right: DataFrame, dims: tuple[int, int], k: in
     def f(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if lp.empty or rp.empty:
             return pd.DataFrame(columns=cols)
-        c, s = _scores(lp, rp, dims)
+        rp = rp.sort_values("id", ignore_index=True)          # ties go to the smaller id
+        c = None if mode == "factor" else _content(lp, rp, dims[0])
+        s = None if mode == "content" else _factor(lp, rp)
         lid = lp["id"].to_numpy()
         rid = rp["id"].to_numpy()
         mask = lid[:, None] == rid[None, :]
-        pos = {v: j for j, v in enumerate(rid)}
         for r, ex in enumerate(lp["excl"]):
             if ex is not None:
-                for v in ex:
-                    j = pos.get(v)
-                    if j is not None:
-                        mask[r, j] = True
+                at = np.searchsorted(rid, ex)
+                at = at[(at < len(rid))]
+                mask[r, at[np.isin(rid[at], ex)]] = True
+        if mode == "hybrid":
+            low, span = ({x: lp[x + side].to_numpy()[:, None] for x in "cs"} for side in ("min", "max"))
+            cn, sn = (((m - low[x]) / (span[x] - low[x] + EPS)) for x, m in (("c", c), ("s", s)))
         out = []
-        kk = min(k, len(rid))
         for a in alphas:
-            if mode == "content":
-                sc = c
-            elif mode == "factor":
-                sc = s
-            else:
-                cn = (c - lp["cmin"].to_numpy()[:, None]) / (lp["cmax"].to_numpy()[:, None]
-                                                           - lp["cmin"].to_numpy()[:, None] + EPS)
-                sn = (s - lp["smin"].to_numpy()[:, None]) / (lp["smax"].to_numpy()[:, None]
-                                                           - lp["smin"].to_numpy()[:, None] + EPS)
-                sc = a * cn + (1.0 - a) * sn
+            sc = c if mode == "content" else s if mode == "factor" else a * cn + (1.0 - a) * sn
             sc = np.where(mask, -np.inf, sc)
-            # best kk per row: order by score desc, then candidate id asc
-            order = np.lexsort((np.broadcast_to(rid, sc.shape), -sc), axis=1)[:, :kk]
-            rows = np.repeat(np.arange(len(lid)), kk)
-            cidx = order.reshape(-1)
-            vals = sc[rows, cidx]
-            keep = np.isfinite(vals)
-            out.append(pd.DataFrame({"alpha": a, "user_id": lid[rows][keep], "recommended_user": rid[cidx][keep],
-                                     "score": vals[keep], "content": c[rows, cidx][keep],
-                                     "factor": s[rows, cidx][keep]}))
+            rows, cidx = np.nonzero(best_columns(sc, k) & np.isfinite(sc))
+            out.append(pd.DataFrame({"alpha": a, "user_id": lid[rows], "recommended_user": rid[cidx],
+                                     "score": sc[rows, cidx], "content": np.nan if c is None else c[rows, cidx],
+                                     "factor": np.nan if s is None else s[rows, cidx]}))
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=cols)
 
     part = L.groupBy("_bi", "_bj").cogroup(R.groupBy("_bi", "_bj")).applyInPandas(f, schema)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from linkrec.operators import blocked as B
 from linkrec.operators import factorize as FZ
 from linkrec.operators.features import dense_index, l2_normalised
+from linkrec.operators.metrics import ranking_metrics
 from linkrec.session import materialize
 
 # Fixed values of the reference's similarity job.
@@ -91,6 +92,24 @@ def hybrid_recs(content: DataFrame, width: int, factor_left: DataFrame | None, f
                           minmax=mm, mode="hybrid")
 
 
+def alpha_sweep(content: DataFrame, width: int, factor_left: DataFrame, factor_right: DataFrame, factor_width: int,
+                test: DataFrame, exclude: DataFrame, alphas=tuple(ALPHAS), k: int = TOP_K,
+                users: DataFrame | None = None, block_size: int = 2048) -> DataFrame:
+    """H12 + K5: every alpha judged on all users of ``test(user_id, item)``, or on ``users(user_id)``.
+
+    Only the judged users are scored, against all candidates, all alphas in one block pass;
+    the metrics of all alphas come from one aggregation.  Output ``alpha`` and the columns of ``ranking_metrics``."""
+    users = (test if users is None else users).select("user_id").distinct()
+    left, _ = B.score_rows(content.join(users.withColumnRenamed("user_id", "id"), "id", "left_semi"),
+                           factor_left, factor_right)
+    _, right = B.score_rows(content, factor_left, factor_right)
+    nb, dims = _nb(content, block_size), (width, max(factor_width, 1))
+    mm = materialize(B.user_minmax(left, right, dims, nb), "sweep-minmax")
+    recs = B.blocked_topk(left, right, dims, k, nb, list(alphas), exclude, minmax=mm, mode="hybrid")
+    judged = users.select(F.explode(F.array(*[F.lit(a) for a in alphas])).alias("alpha"), "user_id")
+    return ranking_metrics(recs, test, judged, k, by=("alpha",))
+
+
 def common_follow_rows(edges: DataFrame, users: DataFrame) -> tuple[DataFrame, int]:
     """Rows of the follow matrix itself as sparse factor rows: with them the
     factor score is the untruncated A Aᵀ (number of commonly followed users)."""

@@ -708,10 +708,6 @@ def q_recs_save(spark, sf):
     return saved
 
 
-_SWEEP_USERS = f"""and p.u in (select user_id from (select distinct src user_id from split where is_test)
-    order by {_h("user_id || '|42'")}, user_id limit 200)"""
-
-
 @query("alpha_sweep", sql(["allp", "umm", "trn", "split"], """select alpha,
     round(avg(hits / 10.0), 6) precision_at_k,
     round(avg(case when n_rel > 0 then hits / n_rel else 0.0 end), 6) recall_at_k,
@@ -729,41 +725,18 @@ _SWEEP_USERS = f"""and p.u in (select user_id from (select distinct src user_id
           from eu cross join (select unnest(cast([0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0] as double[])) alpha) a)
     group by alpha""", extra={
     "te": "select src user_id, dst item from split where is_test",
-    "eu": f"""select user_id from (select distinct user_id from te)
-        order by {_h("user_id || '|42'")}, user_id limit 200""",
-    "h": hybrid_sql("[0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]", _SWEEP_USERS)}))
+    "eu": "select distinct user_id from te",
+    "h": hybrid_sql("[0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]")}))
 def q_alpha_sweep(spark, sf):
-    """H12 + K5: 11 alphas scored in one block pass for the 200 sampled test
-    users, each evaluated with precision / recall / NDCG / hit rate at 10."""
+    """H12 + K5: 11 alphas scored in one block pass for all test users, each evaluated with
+    precision / recall / NDCG / hit rate at 10."""
     t = Tables(spark, sf)
     sp = SM.edge_split(t.follows())
     test = sp.where(F.col("is_test")).select(F.col("src").alias("user_id"), F.col("dst").alias("item"))
-    users = SM.sample_users(test, "user_id", 200)
     c, width, rows, fw = _stand_in(t)
-    left_users = c.join(users.withColumnRenamed("user_id", "id"), "id", "left_semi")
-    recs = _hybrid_for(left_users, c, width, rows, fw, HY.ALPHAS, sp.where(~F.col("is_test")).select("src", "dst"))
-    from linkrec.session import materialize as _mat
-    recs = _mat(recs, "sweep-recs")          # scored once, evaluated per alpha
-    per = []
-    for a in HY.ALPHAS:
-        m = MT.ranking_metrics(recs.where(F.col("alpha") == a), test, users, k=10)
-        per.append(m.select(F.lit(a).alias("alpha"), "*"))
-    out = per[0]
-    for p in per[1:]:
-        out = out.unionByName(p)
-    return out.select("alpha", *[rnd(F.col(c)).alias(c) for c in ("precision_at_k", "recall_at_k", "ndcg_at_k",
-                                                                    "hit_rate_at_k")], "users_evaluated")
-
-
-def _hybrid_for(left_content, content, width, frows, fw, alphas, exclude):
-    """Hybrid scores for the users of ``left_content`` against all candidates."""
-    from linkrec.operators import blocked as BL
-    from linkrec.session import materialize as _mat
-    left, _ = BL.score_rows(left_content, frows, frows)
-    _, right = BL.score_rows(content, frows, frows)
-    nb = BL.n_blocks(content.count(), 2048)
-    mm = _mat(BL.user_minmax(left, right, (width, fw), nb), "sweep-minmax")
-    return BL.blocked_topk(left, right, (width, fw), 10, nb, list(alphas), exclude, minmax=mm, mode="hybrid")
+    m = HY.alpha_sweep(c, width, rows, rows, fw, test, _train_edges(t))
+    return m.select("alpha", *[rnd(F.col(c)).alias(c) for c in ("precision_at_k", "recall_at_k", "ndcg_at_k",
+                                                              "hit_rate_at_k")], "users_evaluated")
 
 
 @query("svd_embeddings")

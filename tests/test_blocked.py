@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from linkrec.operators import blocked as B
 from linkrec.operators import factorize as FZ
-from linkrec.operators.hybrid import content_topk, hybrid_recs
+from linkrec.operators.hybrid import alpha_sweep, content_topk, hybrid_recs
+from linkrec.operators.metrics import ranking_metrics
 
 RNG = np.random.default_rng(7)
 N, D, R = 23, 6, 4
@@ -61,6 +62,56 @@ def test_content_topk_matches_brute_force(spark):
         assert mine == exp
 
 
+def _sparse(m):
+    return [np.flatnonzero(r).tolist() or None for r in m], [r[np.flatnonzero(r)].tolist() or None for r in m]
+
+
+@pytest.mark.parametrize("at_once", [7, 4_000_000])
+@pytest.mark.parametrize("density", [0.0, 0.01, 0.3, 1.0])
+def test_sparse_product_matches_dense(monkeypatch, density, at_once):
+    """Light columns, heavy ones (two that every row has) and rows without entries."""
+    monkeypatch.setattr(B, "PAIRS_AT_ONCE", at_once)
+    rng = np.random.default_rng(int(100 * density))
+    left, right = (rng.normal(size=(n, 60)) * (rng.random((n, 60)) < density) for n in (31, 17))
+    if density:
+        left[:, [3, 50]], right[:, [3, 50]] = 2.0, rng.normal(size=(17, 2))
+    left[5], right[2] = 0.0, 0.0
+    got = B.sparse_product(B._entries(*_sparse(left)), B._entries(*_sparse(right)), (31, 17))
+    assert np.allclose(got, left @ right.T, atol=1e-12)
+
+
+def test_best_columns_takes_the_first_of_equal_ones():
+    rng = np.random.default_rng(4)
+    scores = rng.integers(0, 4, (40, 23)).astype(float)
+    scores[rng.random(scores.shape) < 0.2] = -np.inf
+    scores[0], scores[1] = -np.inf, 1.0
+    for k in (1, 5, 22, 23, 50):
+        exact = np.zeros(scores.shape, dtype=bool)
+        for r, row in enumerate(scores):
+            exact[r, sorted(range(23), key=lambda c: (-row[c], c))[:k]] = True
+        assert (B.best_columns(scores, k) == exact).all()
+
+
+def test_alpha_sweep_judges_every_test_user_as_single_runs_do(spark):
+    X = RNG.random((N, D))
+    Xn = X / np.linalg.norm(X, axis=1, keepdims=True)
+    content = spark.createDataFrame([(i, list(range(D)), Xn[i].tolist()) for i in range(N)],
+                                    "id long, c_idx array<int>, c_val array<double>")
+    factor = spark.createDataFrame([(i, list(range(R)), RNG.normal(size=R).tolist()) for i in range(N)],
+                                   "id long, f_idx array<int>, f_val array<double>")
+    test = spark.createDataFrame([(u, int(v)) for u in range(0, N, 2) for v in RNG.choice(N, 3, replace=False)]
+                                 + [(999, 1)], "user_id long, item long")       # 999 is no candidate: scores 0
+    train = spark.createDataFrame([(1, 2), (4, 6)], "src long, dst long")
+    got = {r.alpha: r for r in alpha_sweep(content, D, factor, factor, R, test, train, (0.0, 0.4, 1.0), k=4,
+                                           block_size=6).collect()}
+    assert sorted(got) == [0.0, 0.4, 1.0]
+    for a, r in got.items():
+        recs = hybrid_recs(content, D, factor, factor, R, (a,), 4, train, block_size=64)
+        exp = ranking_metrics(recs, test, test.select("user_id").distinct(), 4).first()
+        assert r.users_evaluated == exp.users_evaluated == (N + 1) // 2 + 1
+        assert np.allclose(r[1:5], exp[:4])
+
+
 def test_randomized_svd_low_rank(spark):
     n, rank = 30, 4
     M = (RNG.random((n, rank)) @ RNG.random((rank, n)))

@@ -66,6 +66,11 @@ def multi_hot(user_games: DataFrame, vocab: DataFrame | None = None) -> DataFram
     return user_games.join(vocab, "game")
 
 
+def game_lists(user_games: DataFrame) -> DataFrame:
+    """``(new_id, features)``: the sorted game list of each user."""
+    return user_games.groupBy("new_id").agg(F.sort_array(F.collect_list("game")).alias("features"))
+
+
 def positional(user_features: DataFrame) -> DataFrame:
     """D8 long form: the i-th game id of each user's list as a magnitude,
     padded with 0 up to the longest list."""
@@ -110,6 +115,27 @@ def feature_matrix(users: DataFrame, user_games: DataFrame, vocab: DataFrame | N
               .withColumn("n_slots", F.lit(m + 4).cast("int")))
 
 
+def positional_matrix(users: DataFrame, user_features: DataFrame) -> DataFrame:
+    """C2 + H3 (positional encoding): base columns first (missing user row -> 0), then the i-th game id
+    of the user's list as a magnitude.
+
+    The padding up to the longest list is zeros, so it is never written: a row holds the 4 base
+    slots and its own list, a null place or 0 is no entry, an empty or null list leaves the base slots only.
+    Columns as ``feature_matrix`` without ``games``."""
+    lists = user_features.select("new_id", F.coalesce("features", F.array().cast("array<bigint>")).alias("_l"))
+    width = lists.agg(F.coalesce(F.max(F.size("_l")), F.lit(0)) + 4).scalar()
+    base = base_columns(users.join(lists.select("new_id"), "new_id", "left_semi"))
+    places = F.filter(F.transform("_l", lambda x, i: F.struct((i + 4).alias("at"), x.cast("double").alias("value"))),
+                      lambda e: e["value"] != 0)
+    names = ("views", "days", "partner", "mature")
+    return (lists.join(base, "new_id", "left").withColumn("_p", places)
+            .select("new_id", *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in names], "_p")
+            .select("new_id", *names,
+                    F.concat(F.array(*[F.lit(i) for i in range(4)]), F.col("_p.at")).alias("slot_idx"),
+                    F.concat(F.array(*names), F.col("_p.value")).alias("slot_val"),
+                    width.cast("int").alias("n_slots")))
+
+
 def l2_normalised(fm: DataFrame) -> DataFrame:
     """Unit-length sparse rows (idx, val) for cosine; zero rows stay zero."""
     norm = F.sqrt(F.aggregate("slot_val", F.lit(0.0), lambda acc, x: acc + x * x))

@@ -168,6 +168,16 @@ CTES.update({
         (a.views * b.views + a.days * b.days + a.partner * b.partner + a.mature * b.mature
          + len(list_intersect(a.games, b.games))) / (a.nrm * b.nrm) else 0.0 end c
         from fvec a cross join fvec b"""),
+    "pvec": (("base", "user_games"), """select b.new_id, b.views, b.days, b.partner, b.mature, l.games,
+        sqrt(b.views * b.views + b.days * b.days + b.partner + b.mature
+             + list_dot_product(l.games, l.games)) nrm
+        from (select new_id, list(cast(game as double) order by game) games from user_games group by new_id) l
+        join base b using (new_id)"""),
+    "pcos": (("pvec",), """select a.new_id u, b.new_id v,
+        (a.views * b.views + a.days * b.days + a.partner * b.partner + a.mature * b.mature
+         + list_dot_product(a.games[1:least(len(a.games), len(b.games))],
+                            b.games[1:least(len(a.games), len(b.games))])) / (a.nrm * b.nrm) c
+        from pvec a cross join pvec b"""),
     "trn": (("split",), "select distinct src, dst from split where not is_test"),
     "amat": (("split", "fusers"), """select src i, dst j, count(*) a from split where not is_test
         and src in (select new_id from fusers) and dst in (select new_id from fusers) group by src, dst"""),

@@ -667,6 +667,18 @@ def q_content_topk(spark, sf):
     return r.select("user_id", "recommended_user", rnd(F.col("score")).alias("score"), "rank")
 
 
+@query("content_topk_positional", sql(["pcos"], """select u user_id, v recommended_user, round(c, 6) score,
+    cast(rk as integer) as rank from
+    (select u, v, c, row_number() over (partition by u order by c desc, v) rk from pcos where u <> v)
+    where rk <= 10"""))
+def q_content_topk_positional(spark, sf):
+    """H4 on the positional matrix (H3): best 10 users by the cosine of base columns and game lists as magnitudes."""
+    t = Tables(spark, sf)
+    c, width = HY.content_rows(FT.positional_matrix(t.users(), t.user_features()))
+    r = HY.content_topk(c, width, k=10)
+    return r.select("user_id", "recommended_user", rnd(F.col("score")).alias("score"), "rank")
+
+
 @query("content_recs", sql(["fcos", "trn"], """select u user_id, v recommended_user, round(c, 6) score, cast(rk as integer) as rank from
     (select u, v, c, row_number() over (partition by u order by c desc, v) rk from fcos f
      where u <> v and not exists (select 1 from trn t where t.src = f.u and t.dst = f.v))

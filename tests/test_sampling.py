@@ -127,3 +127,13 @@ def test_bernoulli_pairs_first_n_and_edge_cases(spark):
     assert SM.bernoulli_pairs(spark, users.limit(0), 0.05, n=3).count() == 0
     with pytest.raises(ValueError):
         SM.bernoulli_pairs(spark, users, 0.0)
+
+
+def test_drawn_candidates_are_not_broadcast(spark):
+    """The draws, pool times the users, join the index where it is hashed: before, Spark took them for small and sent them all."""
+    users = spark.createDataFrame([(i,) for i in range(3000)], "new_id long")
+    c = SM.candidates(users)
+    assert c.count() == 600_000
+    c.collect()
+    plan = c._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin [pos" not in plan

@@ -169,3 +169,30 @@ def test_restarted_basis_stays_narrow_and_converges(spark):
     best = np.linalg.svd(dense)
     exact = best[0][:, :6] * best[1][:6]
     assert np.abs((u * s) @ (u * s).T - exact @ exact.T).max() < 1e-3
+
+
+def test_packed_blocks_are_shuffled_once(spark):
+    """Rows are not copied to every block of the other side: the pairs of blocks come from a nested loop join."""
+    content = spark.createDataFrame([(i, [0, 1], [0.6, 0.8]) for i in range(40)],
+                                    "id long, c_idx array<int>, c_val array<double>")
+    rows, _ = B.score_rows(content, None, None)
+    blocks = B.packed_blocks(rows, 4)
+    assert blocks.agg(F.sum("n")).first()[0] == 40 and blocks.agg(F.max("n")).first()[0] == 4
+    r = B.blocked_topk(rows, blocks, 2, 3, [1.0], block_size=4, mode="content")
+    plan = r._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "shuffle_replicate_nl" in plan and "CoGroup" not in plan
+    # all scores are equal: the smallest ids win, whatever the order of the blocks
+    got = {}
+    for x in r.collect():
+        got.setdefault(x.user_id, {})[x["rank"]] = x.recommended_user
+    assert got == {u: dict(enumerate([v for v in range(5) if v != u][:3], 1)) for u in range(40)}
+
+
+def test_repeated_and_null_ids_are_scored(spark):
+    rows = [(None, [0], [1.0]), (1, [0], [1.0]), (1, [0], [1.0]), (2, [1], [1.0]), (3, [0], [0.5])]
+    content = spark.createDataFrame(rows, "id long, c_idx array<int>, c_val array<double>")
+    follows = spark.createDataFrame([(1, 3), (3, 1), (None, 2)], "src long, dst long")
+    for size in (1, 2, 100):
+        got = [(r.user_id, r.recommended_user, r.score) for r in content_topk(content, 2, 2, follows, size).collect()]
+        assert sorted(got, key=str) == sorted([(None, None, 1.0), (None, 1, 1.0), (1, None, 1.0), (1, None, 1.0),
+                                               (2, None, 0.0), (2, 1, 0.0), (3, None, 0.5), (3, 2, 0.0)], key=str)

@@ -118,3 +118,13 @@ def test_pagerank_salted_sources_same(g):
     assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
     c = _map(PR.pagerank_normalised(v, d, hot=1), "id", "pagerank")
     assert abs(sum(c.values()) - 1.0) < 1e-6
+
+
+def test_mean_aggregate_of_a_vertex_without_in_neighbours(spark):
+    from linkrec.operators.models import sage_mean_aggregate
+
+    nodes = spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0, 4.0]), (3, [5.0, 8.0])], "id long, z array<double>")
+    edges = spark.createDataFrame([(1, 2), (3, 2), (1, 3), (1, 3)], "src long, dst long")
+    got = {r.id: r.z for r in sage_mean_aggregate(nodes, edges, hops=1).collect()}
+    assert got == {1: [1.0, 2.0, 0.0, 0.0], 2: [3.0, 4.0, 3.0, 5.0], 3: [5.0, 8.0, 1.0, 2.0]}
+    assert {len(r.z) for r in sage_mean_aggregate(nodes, edges, hops=2).collect()} == {8}

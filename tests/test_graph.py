@@ -128,3 +128,51 @@ def test_mean_aggregate_of_a_vertex_without_in_neighbours(spark):
     got = {r.id: r.z for r in sage_mean_aggregate(nodes, edges, hops=1).collect()}
     assert got == {1: [1.0, 2.0, 0.0, 0.0], 2: [3.0, 4.0, 3.0, 5.0], 3: [5.0, 8.0, 1.0, 2.0]}
     assert {len(r.z) for r in sage_mean_aggregate(nodes, edges, hops=2).collect()} == {8}
+
+
+def _random_graph(spark, n=60, m=240):
+    from random import Random
+
+    r = Random(3)
+    e = {(r.randrange(n), r.randrange(n)) for _ in range(m)}
+    e = spark.createDataFrame(sorted(x for x in e if x[0] != x[1]), "src long, dst long")
+    return spark.range(n), G.undirected(e)
+
+
+def test_louvain_round_reads_the_edges_once(spark):
+    """A round scans the cached links once and never shuffles them: only rows summed by (a, cb) move."""
+    v, und = _random_graph(spark)
+    links, salts = C._links(und.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(1.0).alias("w")), 0, 1 << 15)
+    comm = (v.select(F.col("id").alias("node")).join(salts, "node", "left")
+            .select("node", F.lit(4.0).alias("k"), F.col("node").alias("c"), C._half("node", 0).alias("_par"),
+                    F.coalesce("_s", F.lit(0)).alias("_s")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = C._best_moves(links, comm.localCheckpoint(), 0, 240.0, 1e-12)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        links.unpersist()
+    assert plan.count("InMemoryTableScan") == 1
+
+
+def test_louvain_moves_to_the_community_of_most_gain(spark):
+    """One round against a count of every gain, ties to the smallest id."""
+    v, und = _random_graph(spark)
+    edges = [(r.src, r.dst) for r in und.collect()]
+    m2, c = float(len(edges)), {i: i % 7 for i in range(60)}
+    k = {i: float(sum(a == i for a, _ in edges)) for i in c}
+    links, salts = C._links(und.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(1.0).alias("w")), 0, 3)
+    rows = spark.createDataFrame([(i, k[i], c[i]) for i in c], "node long, k double, c long")
+    comm = rows.join(salts, "node", "left").withColumn("_par", C._half("node", 0)).withColumn("_s", F.coalesce("_s", F.lit(0)))
+    half = {r.node for r in comm.where("_par = 1").collect()}
+    exp = {}
+    for i in half:
+        kin, total = {}, {x: sum(k[j] for j in c if c[j] == x) for x in range(7)}
+        for a, b in edges:
+            if a == i:
+                kin[c[b]] = kin.get(c[b], 0) + 1
+        gains = [(kin[x] * m2 - k[i] * total[x] - kin.get(c[i], 0) * m2 + k[i] * (total[c[i]] - k[i]), -x) for x in kin if x != c[i]]
+        if gains and max(gains)[0] > 0:
+            exp[i] = -max(gains)[1]
+    assert len(exp) > 5 and _map(C._best_moves(links, comm, 1, m2, 1e-12), "node", "_to") == exp
+    links.unpersist()

@@ -196,3 +196,24 @@ def test_repeated_and_null_ids_are_scored(spark):
         got = [(r.user_id, r.recommended_user, r.score) for r in content_topk(content, 2, 2, follows, size).collect()]
         assert sorted(got, key=str) == sorted([(None, None, 1.0), (None, 1, 1.0), (1, None, 1.0), (1, None, 1.0),
                                                (2, None, 0.0), (2, 1, 0.0), (3, None, 0.5), (3, 1, 0.5)], key=str)
+
+
+def test_sparse_products_by_packed_blocks(spark, monkeypatch):
+    """A Z and A'Z against numpy, over several blocks, entry pieces and a full column; Z meets A packed."""
+    monkeypatch.setattr(FZ, "ENTRIES", 50)
+    rng = np.random.default_rng(4)
+    n, r = FZ.BLOCK + 300, 3
+    cells = {(int(i), int(j)): float(x) for i, j, x in zip(rng.integers(0, n, 400), rng.integers(0, n, 400), rng.random(400), strict=True)}
+    cells |= {(i, 7): 1.0 for i in range(0, n, 10)}
+    A = spark.createDataFrame([(i, j, a) for (i, j), a in cells.items()], "i long, j long, a double")
+    Z = rng.random((n, r))
+    rows = spark.createDataFrame([(i, [float(x) for x in Z[i]]) for i in range(n)], "id long, vec array<double>")
+    for product, pos in ((FZ.a_times, 0), (FZ.at_times, 1)):
+        exp = np.zeros((n, r))
+        for cell, a in cells.items():
+            exp[cell[pos]] += a * Z[cell[1 - pos]]
+        got = {x.id: x.vec for x in product(A, rows).collect()}
+        assert set(got) == {c[pos] for c in cells}
+        assert all(np.allclose(got[i], exp[i]) for i in got)
+    pieces = FZ.entries(A, "i", "j")
+    assert FZ.times(pieces, FZ.packed(rows)).count() == 2 and pieces.count() > 4

@@ -176,3 +176,23 @@ def test_louvain_moves_to_the_community_of_most_gain(spark):
             exp[i] = -max(gains)[1]
     assert len(exp) > 5 and _map(C._best_moves(links, comm, 1, m2, 1e-12), "node", "_to") == exp
     links.unpersist()
+
+
+def test_pair_graph_is_written_once(spark):
+    """The features read the edges many times: from a file, not through the joins that make them."""
+    from linkrec.plans import registry
+
+    class Rows:
+        def users(self):
+            return spark.createDataFrame([(1,), (2,), (3,)], "new_id long")
+
+        def user_games(self):
+            return spark.createDataFrame([(1, 5), (2, 5), (2, 6)], "new_id long, game long")
+
+        def follows(self):
+            return spark.createDataFrame([(1, 2), (1, 2), (2, 1), (2, 2), (1, 3)], "src long, dst long")
+
+    v, und, udeg = registry._pair_graph(Rows())
+    assert v.inputFiles() and und.inputFiles() and udeg.inputFiles()
+    assert {x.id for x in v.collect()} == {1, 2}
+    assert sorted(map(tuple, und.collect())) == [(1, 2), (2, 1), (2, 2)]

@@ -217,3 +217,43 @@ def test_sparse_products_by_packed_blocks(spark, monkeypatch):
         assert all(np.allclose(got[i], exp[i]) for i in got)
     pieces = FZ.entries(A, "i", "j")
     assert FZ.times(pieces, FZ.packed(rows)).count() == 2 and pieces.count() > 4
+
+
+def test_filtered_products_and_the_filter_switch(spark, monkeypatch):
+    """The product steps equal numpy over two blocks of rows, and an SVD that goes on by the filter the exact one."""
+    n, r = FZ.BLOCK + 300, 3
+    rng = np.random.default_rng(3)
+    i, j = rng.integers(0, n, 3000), rng.integers(0, n, 3000)
+    dense = np.zeros((n, n))
+    np.add.at(dense, (i, j), 1.0)
+    at = np.argwhere(dense)
+    A = spark.createDataFrame([(int(x), int(y), float(dense[x, y])) for x, y in at], "i long, j long, a double")
+    z = rng.normal(size=(n, r))
+    Z = FZ.packed(spark.createDataFrame([(x, z[x].tolist()) for x in range(n)], "id long, vec array<double>"))
+    got = FZ.filtered(FZ.entries(A, "j", "i"), FZ.entries(A, "i", "j"), Z, np.array([2.0, 5.0]), 4.0)
+    want = dense @ (dense.T @ z) - 2.0 * z
+    want = (dense @ (dense.T @ want) - 5.0 * want) / 16
+    out = np.zeros((n, r))
+    for row in FZ.unpacked(got).collect():
+        out[row.id] = row.vec
+    assert np.allclose(out, want)
+
+    m = rng.normal(size=(120, 120))
+    B = spark.createDataFrame([(x, y, float(m[x, y])) for x in range(120) for y in range(120)], "i long, j long, a double")
+    degrees = []
+    shifts = FZ.filter_shifts
+    monkeypatch.setattr(FZ, "PLAIN_BLOCKS", 2)
+    monkeypatch.setattr(FZ, "filter_shifts", lambda *x: degrees.append(len(shifts(*x)[0])) or shifts(*x))
+    U, s, V = FZ.randomized_svd(B, k=4, oversample=3)
+    u, exact, vt = np.linalg.svd(m)
+    assert degrees and degrees[0] > 1 and np.allclose(s, exact[:4], rtol=1e-8)
+    left, right = (np.array([row.vec for row in X.orderBy("id").collect()]) for X in (U, V))
+    assert np.abs(left * s @ right.T - u[:, :4] * exact[:4] @ vt[:4]).max() < 1e-3
+
+
+def test_filter_shifts_bound_the_top():
+    """The polynomial is at most 2 up to the cut, and no degree lets the largest value drown the others."""
+    for top, cut in ((1.05, 1.0), (3.0, 1.0), (50.0, 1.0), (1e9, 1.0)):
+        shifts, scale = FZ.filter_shifts(top, cut)
+        at = lambda x: np.prod([(x - t) / scale for t in shifts])
+        assert max(abs(at(x)) for x in np.linspace(0, cut, 101)) <= 2 + 1e-9 and (len(shifts) == 1 or at(top) <= 2e6 + 1)

@@ -257,3 +257,80 @@ def test_filter_shifts_bound_the_top():
         shifts, scale = FZ.filter_shifts(top, cut)
         at = lambda x: np.prod([(x - t) / scale for t in shifts])
         assert max(abs(at(x)) for x in np.linspace(0, cut, 101)) <= 2 + 1e-9 and (len(shifts) == 1 or at(top) <= 2e6 + 1)
+
+
+def _packed(ids, c, f, follows=None, minmax=None):
+    row = {"block": int(ids[0]), "n": len(ids), "ids": np.asarray(ids, np.int64).tobytes(),
+           "known": np.ones(len(ids), bool).tobytes()}
+    entries = [np.flatnonzero(x) for x in f]
+    for name, values, dtype in (("c_idx", [np.arange(c.shape[1])] * len(ids), np.int32), ("c_val", list(c), np.float64),
+                                ("f_idx", entries, np.int32), ("f_val", [x[e] for x, e in zip(f, entries, strict=True)], np.float64),
+                                ("excl", [follows.get(u, []) for u in ids] if follows else [[] for _ in ids], np.int64)):
+        row[name + "_len"], row[name] = B._flat(values, dtype)
+    return row | {k: v.to_numpy(float).tobytes() for k, v in (minmax or {}).items()}
+
+
+def test_few_cells_are_the_sparse_product():
+    rng = np.random.default_rng(1)
+    L, M = ((rng.random((60, 500)) < 0.01) * rng.normal(size=(60, 500)) for _ in range(2))
+    left, right = (B._entries([np.flatnonzero(x) for x in m], [x[np.flatnonzero(x)] for x in m]) for m in (L, M))
+    at, value = B.few_cells(left, right, (60, 60))
+    assert (np.diff(at) > 0).all() and len(at) < 3600 // 4
+    out = np.zeros(3600)
+    out[at] = value
+    assert (out.reshape(60, 60) == B.sparse_product(left, right, (60, 60))).all()
+    dense = B._entries([np.arange(9)] * 60, list(rng.random((60, 9))))
+    assert B.few_cells(dense, dense, (60, 60)) is None
+
+
+def test_alphas_score_only_candidates_that_can_be_among_the_best(spark, monkeypatch):
+    """With seldom shared factor entries, no alpha's scores are filled for a whole block pair: before, they were for every
+    alpha.  Recommendations equal the definition's."""
+    rng = np.random.default_rng(3)
+    n, k, alphas = 300, 4, (0.0, 0.3, 1.0)
+    c = rng.integers(0, 3, (n, 6)).astype(float)                # equal rows: ties go to the smaller id
+    c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1)
+    f = (rng.random((n, 400)) < 0.004).astype(float)
+    follows = {u: rng.choice(n, 5, replace=False).tolist() for u in range(0, n, 3)}
+    content = spark.createDataFrame([(i, list(range(6)), c[i].tolist()) for i in range(n)],
+                                    "id long, c_idx array<int>, c_val array<double>")
+    factor = spark.createDataFrame([(i, np.flatnonzero(f[i]).tolist(), [1.0] * int(f[i].sum())) for i in range(n)],
+                                   "id long, f_idx array<int>, f_val array<double>")
+    ex = spark.createDataFrame([(u, v) for u, vs in follows.items() for v in vs], "src long, dst long")
+    got = {}
+    for r in sorted(hybrid_recs(content, 6, factor, factor, 400, alphas, k, ex, block_size=64).collect(), key=lambda r: r["rank"]):
+        got.setdefault((r.alpha, r.user_id), []).append(r.score)
+    whole, s = c @ c.T, f @ f.T
+    for u in range(n):
+        other = np.arange(n) != u
+        cn = (whole[u] - whole[u, other].min()) / (whole[u, other].max() - whole[u, other].min() + B.EPS)
+        sn = (s[u] - s[u].min()) / (s[u].max() - s[u].min() + B.EPS)
+        free = [v for v in range(n) if v != u and v not in follows.get(u, [])]
+        for a in alphas:
+            assert np.allclose(got[a, u], np.sort((a * cn + (1 - a) * sn)[free])[::-1][:k], atol=1e-9)
+
+    def no_whole(*args):
+        raise AssertionError("whole score matrices")
+    monkeypatch.setattr(B, "_scores", no_whole)
+    blocks = [_packed(np.arange(x, x + 50), c[x:x + 50], f[x:x + 50]) for x in range(0, n, 50)]
+    monkeypatch.setattr(B, "block_pairs", lambda left, right: _Walked(left, right))
+    mm = B.user_minmax([_packed(np.arange(500, 550), c[:50], f[:50])], blocks, 6).rows
+    assert np.allclose(mm["smax"], s[:50].max(axis=1)) and np.allclose(mm["cmin"], whole[:50].min(axis=1))
+
+
+class _Walked:
+    """Block pairs of one task, in this process."""
+
+    def __init__(self, left, right):
+        self.pairs = [{**{"l_" + k: v for k, v in x.items()}, **{"r_" + k: v for k, v in y.items()}} for x in left for y in right]
+
+    def mapInPandas(self, walk, schema):
+        import pandas as pd
+        self.rows = pd.concat(walk(iter([pd.DataFrame([p]) for p in self.pairs])))
+        return self
+
+    def groupBy(self, *keys):
+        return self
+
+    def agg(self, *columns):
+        return self

@@ -37,3 +37,16 @@ def test_filter_pushed_to_scan(spark):
     p = _plan(Tables(spark, SF001).follows())
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_returnflag:string>" in p
+
+
+def test_link_prediction_joins_its_input_tables_once(spark):
+    """Follows and games come from joins of the order lines: before, every step that reads them joined again."""
+    from linkrec.plans.link_prediction import LinkPrediction
+    from linkrec.sources.tables import Tables
+    t = Tables(spark, SF001)
+    lp = LinkPrediction(spark, t.users(), t.user_games(), t.follows())
+    assert "Join" in _plan(t.follows()) and "Join" in _plan(t.user_games())
+    for mine, given in ((lp.follows, t.follows()), (lp.user_games, t.user_games())):
+        assert "Join" not in _plan(mine)
+        assert sorted(mine.collect()) == sorted(given.collect())
+    assert lp.follows is lp.follows

@@ -178,6 +178,31 @@ def test_louvain_moves_to_the_community_of_most_gain(spark):
     links.unpersist()
 
 
+def test_louvain_in_one_task_makes_the_same_moves(spark, monkeypatch):
+    """The levels inside one task, from the first or a later one on, against a job a round: equal labels, also with
+    a vertex without edges, an edge to an unknown user, weights and few rounds."""
+    from random import Random
+
+    r = Random(5)
+    pairs = {(x, y) for x in range(0, 400, 4) for y in range(0, 400, 4) if x != y and r.random() < (0.3 if x // 40 == y // 40 else 0.01)}
+    v = spark.createDataFrame([(x,) for x in [*range(0, 400, 4), 1001]], "id long")
+    und = G.undirected(spark.createDataFrame(sorted(pairs | {(8, 2000), (2000, 12)}), "src long, dst long"))
+    took = []
+    monkeypatch.setattr(C, "_levels_in_one_task", lambda *x, f=C._levels_in_one_task: took.append(x[3]) or f(*x))
+    for moves, levels in ((3, 2), (1, 1)):
+        monkeypatch.setattr(C, "ONE_TASK_EDGES", 0)
+        spread = _map(C.louvain(v, und, levels, moves), "id", "community")
+        assert not took and 3 < len(set(spread.values())) < 90
+        for edges, first in ((1 << 20, 0), (und.count() // 2, 1))[:levels]:
+            monkeypatch.setattr(C, "ONE_TASK_EDGES", edges)
+            assert _map(C.louvain(v, und, levels, moves), "id", "community") == spread
+            assert took == [first] and not took.clear()
+    twice = v.union(v)
+    monkeypatch.setattr(C, "ONE_TASK_EDGES", 1 << 20)
+    C.louvain(twice, und, 1, 1)
+    assert not took                                          # repeated users keep to the jobs, which count them twice
+
+
 def test_pair_graph_is_written_once(spark):
     """The features read the edges many times: from a file, not through the joins that make them."""
     from linkrec.plans import registry

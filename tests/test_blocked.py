@@ -171,6 +171,35 @@ def test_restarted_basis_stays_narrow_and_converges(spark):
     assert np.abs((u * s) @ (u * s).T - exact @ exact.T).max() < 1e-3
 
 
+def test_svd_in_one_task_and_spread_give_the_same_factors(spark, monkeypatch):
+    """A hub, users without edges, weights, a restarted basis and the filter: by jobs on written blocks and in one task.
+    The jobs write each block once and keep none but the factors."""
+    import os
+
+    from linkrec.session import checkpoint_dir
+
+    rng = np.random.default_rng(12)
+    pairs = {(int(x), int(y)) for x, y in rng.integers(0, 120, (600, 2))} | {(7, y) for y in range(0, 120, 2)}
+    A = spark.createDataFrame([(x + 5000, 3 * y, float(1 + (x + y) % 3)) for x, y in sorted(pairs)], "i long, j long, a double")
+    dense = np.zeros((120, 120))
+    for x, y in pairs:
+        dense[x, y] = 1 + (x + y) % 3
+    got = {}
+    for cells in (FZ.ONE_TASK_CELLS, 0):
+        monkeypatch.setattr(FZ, "ONE_TASK_CELLS", cells)
+        U, s, V = FZ.randomized_svd(A, k=2, oversample=2, max_width=20)
+        assert np.allclose(s, np.linalg.svd(dense)[1][:2], rtol=1e-8)
+        got[cells] = {(x, r.id): np.array(r.vec) for x, df in (("u", U), ("v", V)) for r in df.collect()}
+    one, spread = got.values()
+    assert one.keys() == spread.keys() and len(one) > 200
+    a, b = (np.array([g[x] for x in sorted(one)]) for g in (one, spread))
+    sign = np.sign((a * b).sum(0))                          # is free
+    assert np.allclose(a, b * sign, atol=1e-6)
+    root = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "linkrec-tables")
+    left = [x for x in os.listdir(root) if x.startswith(("svd-k", "svd-y"))]
+    assert not left
+
+
 def test_packed_blocks_are_shuffled_once(spark):
     """Rows are not copied to every block of the other side: the pairs of blocks come from a nested loop join."""
     content = spark.createDataFrame([(i, [0, 1], [0.6, 0.8]) for i in range(40)],

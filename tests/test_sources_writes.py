@@ -101,3 +101,22 @@ def test_feature_map_round_trip_empty_and_bad(spark, tmp_path):
         p.write_text(bad)
         with pytest.raises(Exception):
             FS.read_feature_map(spark, str(p)).collect()
+
+
+def test_replacing_upsert_of_pairs_moves_boxes_not_rows(spark, monkeypatch):
+    """Pairs with null and repeated keys, nulls in other columns and ids of any size: the rows of the anti join, of
+    which only compressed boxes are shuffled."""
+    from random import Random
+
+    r = Random(11)
+    ids = [None, 0, 1, 2, 3, -5, 1 << 40, (1 << 62) + 1, -(1 << 62)]
+    old, new = ([(r.choice(ids), r.choice(ids), r.choice([None, 0.5, 0.25]), r.choice(["x", None])) for _ in range(n)] for n in (300, 25))
+    monkeypatch.setattr(W, "BOX_ROWS", 16)
+    schema = "a long, b long, s double, t string"
+    for x, y in ((old, new), (old, []), ([], new)):
+        got = W.replacing_upsert(spark.createDataFrame(x, schema), spark.createDataFrame(y, schema), ["a", "b"])
+        keys = {row[:2] for row in y if None not in row[:2]}
+        exp = y + [row for row in x if row[:2] not in keys]
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, exp))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "rows" in plan

@@ -80,6 +80,20 @@ def test_sparse_product_matches_dense(monkeypatch, density, at_once):
     assert np.allclose(got, left @ right.T, atol=1e-12)
 
 
+def test_factor_blocks_are_ordered_and_filled_by_counting():
+    """Columns below and above 16 bits, repeated entries, dense and light columns."""
+    rng = np.random.default_rng(8)
+    for high in (5, 300, 70_000):
+        row, col, val = rng.integers(0, 30, 400), rng.integers(0, high, 400), rng.normal(size=400)
+        order = B._order(col)
+        assert (order == np.argsort(col, kind="stable")).all()
+        side = row[order], col[order], val[order]
+        m = np.zeros((30, high))
+        np.add.at(m, (row, col), val)
+        assert np.allclose(B.sparse_product(side, side, (30, 30)), m @ m.T, atol=1e-12)
+    assert len(B._order(np.zeros(0, np.int64))) == 0
+
+
 def test_best_columns_takes_the_first_of_equal_ones():
     rng = np.random.default_rng(4)
     scores = rng.integers(0, 4, (40, 23)).astype(float)
